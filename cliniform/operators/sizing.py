@@ -30,10 +30,24 @@ def planned_bytes(df: DataFrame) -> int:
     """Catalyst's upper estimate of the size of a plan (no job is run)."""
     if df not in _sizes:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        _sizes[df] = int(stats.sizeInBytes().toString())
+        _sizes[df] = int(str(stats.sizeInBytes()))
     return _sizes[df]
 
 
+def fixed_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small table of literals, as a local relation whose size Catalyst knows."""
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+
+    def text(v: object) -> str:
+        if v is None or isinstance(v, (bool, int)):
+            return {None: "null", True: "true", False: "false"}.get(v, str(v))
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    body = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f"`{n}`" for n, _ in fields)
+    return spark.sql(f"select {', '.join(f'cast(`{n}` as {t}) as `{n}`' for n, t in fields)} from values {body} as t({names})")
+
+
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return planned_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
@@ -66,8 +80,8 @@ def attach(
         right, pairs = F.broadcast(dim), on
         left = fact
     else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        right = dim.withColumn("_salt_d", salts.cast("bigint"))
+        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+        right = dim.withColumn("_salt_d", F.explode(salts))
         left = fact.withColumn("_salt_f", spread_over(fact, SALTS))
         pairs = [*on, (F.col("_salt_f"), "_salt_d")]
     cond: Column | None = None

@@ -11,7 +11,7 @@ from ..operators.dedupe import smallest_per_key
 from ..operators.lookup import LABEL, SOURCE, codes_of, concept_lookup, crosswalk, lookup, lookup_contained
 from ..operators.membership import keep_absent_or_visits, keep_persons, keep_visits, member_flag
 from ..operators.rules import classify
-from ..operators.sizing import attach
+from ..operators.sizing import attach, is_small
 from ..rules import drugs as D
 from ..sources.model import conform
 from ..sources.study import Study
@@ -96,7 +96,8 @@ def pick_package_code(df: DataFrame, concept: DataFrame, edges: DataFrame) -> Da
     route knows a package code are dropped."""
     raw = packed_field("drug_source_value", 1)
     df = concept_lookup(df, concept, "drug_source_concept_id", {"_ndc": "concept_code"}, ["NDC"])
-    df = attach(df, least_package_code(concept, edges), [(F.col("drug_concept_id"), "rx_id")])
+    # a crosswalk has no more rows than the graph has edges, which is the size to check
+    df = attach(df, least_package_code(concept, edges), [(F.col("drug_concept_id"), "rx_id")], small=is_small(edges))
     df = member_flag(df, codes_of(concept, "code", ["NDC"]), raw, "_raw_ndc")
     known = F.col("least_ndc").isNotNull() | F.col("_ndc").isNotNull() | F.col("_raw_ndc")
     return df.where(known).withColumn(
@@ -144,7 +145,8 @@ def prescribing(study: Study) -> DataFrame:
     df = keep_absent_or_visits(keep_persons(rows, study.cohort), study.cohort)
     df = concept_lookup(df, study.concept, "drug_concept_id", {"_rx": "concept_code", "_rx_name": "concept_name"}, ["RxNorm"])
     df = concept_lookup(df, study.concept, "drug_source_concept_id", {"_raw_rx": "concept_code"})
-    df = attach(df, dose_forms(study), [(F.col("drug_concept_id"), "_drug")])
+    df = attach(df, dose_forms(study), [(F.col("drug_concept_id"), "_drug")],
+                small=is_small(study["concept_relationship"]))
     for out, cls, key in [
             ("rx_dose_ordered_unit", "Dose unit", F.col("dose_unit_concept_id")),
             ("_frequency", "Rx Frequency", F.trim(F.lower("frequency"))),

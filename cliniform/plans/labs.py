@@ -11,7 +11,7 @@ from ..functions import contains_any, hhmm, hour_minute_unpadded, null_of, packe
 from ..operators.lookup import TARGET, concept_lookup, entries, lookup
 from ..operators.membership import keep_visits
 from ..operators.rules import classify
-from ..operators.sizing import attach, is_small
+from ..operators.sizing import attach, fixed_rows, is_small
 from ..operators.update import set_where, update_by_raw
 from ..rules import labs as L
 from ..rules.results import RESULT_TEXT
@@ -66,8 +66,8 @@ def resolve_units(df: DataFrame, vmap: DataFrame) -> DataFrame:
     spelled = entries(vmap, ["result_unit_source", "Result unit"], {"_ku": F.lower(TARGET)}, {"_u3": TARGET})
     df = attach(df, spelled, [(F.lower("raw_unit"), "_ku")], small=is_small(vmap))
     df = set_where(df, F.col("result_unit").isin(L.UNMAPPED_UNITS), result_unit=F.col("_u3")).drop("_u3")
-    lists = df.sparkSession.createDataFrame(
-        [(raw, unit) for unit, raws in L.RAW_UNITS for raw in raws], "raw string, unit string")
+    lists = fixed_rows(df.sparkSession, "raw string, unit string",
+                       [(raw, unit) for unit, raws in L.RAW_UNITS for raw in raws])
     unknown = F.col("result_unit").isNull() | F.col("result_unit").isin(L.UNKNOWN_UNITS)
     df = update_by_raw(df, lists, F.col("raw_unit"), unknown, "result_unit")
     return units_by_test(df)
@@ -132,7 +132,7 @@ def repair_table() -> list[tuple]:
 def repair_modifiers(df: DataFrame) -> DataFrame:
     """Apply the repair steps as one join with their outcome table."""
     schema = "_r string, _l string, _h string, _hl boolean, _hh boolean, _nr string, _nl string, _nh string"
-    table = df.sparkSession.createDataFrame(repair_table(), schema).withColumn("_hit", F.lit(True))
+    table = fixed_rows(df.sparkSession, schema, repair_table()).withColumn("_hit", F.lit(True))
     keys = [(F.col("result_modifier"), "_r"), (F.col("norm_modifier_low"), "_l"), (F.col("norm_modifier_high"), "_h"),
             (F.col("norm_range_low").isNotNull(), "_hl"), (F.col("norm_range_high").isNotNull(), "_hh")]
     joined = attach(df, table, keys, null_safe=True)
