@@ -23,10 +23,10 @@ on("fn_split_index", "drug_exposure", "drug_exposure_id", lambda: F.left(fn.pack
 on("fn_trim", "measurement", "measurement_id", lambda: F.trim(fn.packed_field("specimen_source_value", 1)),
    "trim(split_part(specimen_source_value, '|', 1))")
 on("fn_first_of_list", "condition_occurrence", "condition_occurrence_id", lambda: fn.lead_code(RAW),
-   f"""case when strpos(split_part({RAW}, '|', 3), ',') > 0 then trim(list_filter(string_split(split_part({RAW}, '|', 3), ','), x -> x <> '')[1])
+   f"""case when strpos(split_part({RAW}, '|', 3), ',') > 0 then trim(regexp_extract(split_part({RAW}, '|', 3), '^,*([^,]*)', 1))
    else trim(split_part({RAW}, '|', 3)) end""")
 on("fn_lower", "documents", "doc_id", lambda: F.lower("lang"), "lower(lang)")
-on("fn_left", "documents", "doc_id", lambda: F.left("text", F.lit(18)), "left(text, 18)")
+on("fn_left", "drug_exposure", "drug_exposure_id", lambda: F.left("drug_source_value", F.lit(11)), "left(drug_source_value, 11)")
 on("fn_length", "documents", "doc_id", lambda: F.length("text"), "length(text)")
 on("fn_replace", "immunization", "immunization_id", lambda: F.replace("imm_lot_num", F.lit('"'), F.lit("")), "replace(imm_lot_num, chr(34), '')")
 on("fn_lpad", "person", "person_id", lambda: F.lpad(F.col("month_of_birth").cast("string"), 2, "0"), "lpad(month_of_birth::varchar, 2, '0')")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .model import TABLES, conform
@@ -47,11 +47,13 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def run_log(spark: SparkSession, entries: list[dict[str, str]], at: datetime) -> DataFrame:
-    """Rows for the version history: one per phase of a run."""
-    fields = [f.name for f in TABLES["version_history"].fields]
-    rows = [tuple({"datetime": at, **e}.get(f) for f in fields) for e in entries]
-    return spark.createDataFrame(rows, TABLES["version_history"].schema)
+def run_log(stages: DataFrame, at: datetime, model: str, model_version: str, **versions: str) -> DataFrame:
+    """Version-history rows of a run: one per audited stage (see :func:`stage_counts`)."""
+    operation = F.concat(F.lit("load "), F.col("stage"), F.lit(": "), F.col("row_count").cast("string"), F.lit(" rows"))
+    return conform(stages.select(
+        F.lit(at).cast("timestamp_ntz").alias("datetime"), operation.alias("operation"), F.lit(model).alias("model"),
+        F.lit(model_version).alias("model_version"), *[F.lit(v).alias(k) for k, v in versions.items()]),
+        "version_history", "")
 
 
 def seed_if_empty(df: DataFrame, default: DataFrame) -> DataFrame:
