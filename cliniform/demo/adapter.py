@@ -211,10 +211,10 @@ def sources(spark_dialect: bool) -> dict[str, str]:
         "complaint_map": rows("complaint_text row_count concept_id concept_name concept_code vocabulary_id code_type",
                               *_COMPLAINTS, casts={"row_count": "int", "concept_id": "bigint"}),
         "line_facts": f"""
-            select {digest(line)} as fact_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, {quantity} as qty,
+            select /*+ shuffle_hash(o) */ {digest(line)} as fact_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, {quantity} as qty,
                 l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, cast(l_shipdate as date) as ship_date,
                 o_custkey, o_orderdate, cast(o_orderdate as date) as order_date
-            from lineitem join orders on l_orderkey = o_orderkey""",
+            from lineitem join orders as o on l_orderkey = o_orderkey""",
         "person": f"""
             select c_custkey as person_id, 1950 + c_custkey % 50 as year_of_birth,
                 case when c_custkey % 11 = 0 then null else 1 + c_custkey % 12 end as month_of_birth,

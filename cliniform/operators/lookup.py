@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,25 @@ CLASS, SOURCE, TARGET, LABEL, DESCRIPTION, VALUE = (
     "source_class", "source_code", "target_code", "target_label", "description", "value_code")
 
 
+# Separator and NULL mark inside shared map keys; no code holds these control characters.
+_SEP, _NULL = "\u0001", "\u0002"
+_shared: WeakKeyDictionary[DataFrame, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
+def all_entries(vmap: DataFrame, by: str) -> DataFrame:
+    """Whole map, one row per (class, code): joined keys and least targets.
+
+    Every plain lookup of a plan joins this same relation, so Spark builds and broadcasts it once
+    and reuses it, however many classes are looked up.
+    """
+    known = _shared.setdefault(vmap, {})
+    if by not in known:
+        part = vmap.coalesce(1) if is_small(vmap) else vmap
+        key = F.concat(F.col(CLASS), F.lit(_SEP), F.coalesce(F.col(by), F.lit(_NULL)))
+        known[by] = part.groupBy(key.alias("_key")).agg(F.min(TARGET).alias("_target"))
+    return known[by]
+
+
 def entries(vmap: DataFrame, cls: str | list[str], keys: dict[str, Column], take: dict[str, str],
             where: Column | None = None) -> DataFrame:
     """One row per key of one map class; among several the least taken values win.
@@ -50,11 +71,14 @@ def lookup(
     The map key is text, so the fact key is cast to text. ``null_safe`` lets a NULL key find
     the map row with a NULL key. Every key gives one row, so facts are never multiplied.
     """
-    k = f"_k_{out}"
-    dim = entries(vmap, cls, {k: F.col(by)}, take or {out: TARGET})
-    if not null_safe:
-        dim = dim.where(F.col(k).isNotNull())
-    res = attach(df, dim, [(as_column(key).cast("string"), k)], how, null_safe, small=is_small(vmap))
+    k, small, probe = f"_k_{out}", is_small(vmap), as_column(key).cast("string")
+    if take is None:
+        dim = all_entries(vmap, by).select(F.col("_key").alias(k), F.col("_target").alias(out))
+        code = F.coalesce(probe, F.lit(_NULL)) if null_safe else probe
+        res = attach(df, dim, [(F.concat(F.lit(cls + _SEP), code), k)], how, small=small)
+    else:
+        dim = entries(vmap, cls, {k: F.col(by)}, take, F.col(by).isNotNull())
+        res = attach(df, dim, [(probe, k)], how, small=small)
     if default is not None:
         res = res.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
     return res
@@ -126,7 +150,8 @@ def concept_lookup(
 ) -> DataFrame:
     """Join facts to the dictionary by concept id; ``take`` maps new names to its columns."""
     dim = concepts(dictionary, take, vocabularies, where)
-    return attach(df, dim, [(as_column(key), f"_c_{next(iter(take))}")], how)
+    # a slice of a small dictionary is small; a slice of a large one is measured itself
+    return attach(df, dim, [(as_column(key), f"_c_{next(iter(take))}")], how, small=is_small(dictionary) or None)
 
 
 def codes_of(dictionary: DataFrame, out: str, vocabularies: list[str] | None = None,

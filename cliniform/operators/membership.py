@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sizing import attach, is_small, spread_over
 
 
+_persons: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
+
+
 def keep_visits(df: DataFrame, cohort: DataFrame, visit: str = "visit_occurrence_id") -> DataFrame:
     """Facts of cohort visits. The visit is the key of the cohort, so both sides of the join are
     plain scans and the adaptive engine can split a visit with very many facts."""
@@ -17,8 +22,9 @@ def keep_visits(df: DataFrame, cohort: DataFrame, visit: str = "visit_occurrence
 def keep_persons(df: DataFrame, cohort: DataFrame, person: str = "person_id") -> DataFrame:
     """Facts of cohort persons. A person has one cohort row per visit: these are reduced first,
     then broadcast if small, else salted against persons with very many facts."""
-    persons = cohort.select(F.col("person_id").alias("_p")).distinct()
-    return attach(df, persons, [(F.col(person), "_p")], "left_semi")
+    if cohort not in _persons:
+        _persons[cohort] = cohort.select(F.col("person_id").alias("_p")).distinct()
+    return attach(df, _persons[cohort], [(F.col(person), "_p")], "left_semi")
 
 
 def keep_person_visits(df: DataFrame, cohort: DataFrame, person: str = "person_id",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ class Study:
     def today_column(self):
         return F.current_date() if self.today is None else F.lit(self.today)
 
-    @property
+    @cached_property
     def cohort(self) -> DataFrame:
         return self.target("cohort", _cohort)
 
