@@ -132,7 +132,7 @@ def _pivot(s) -> DataFrame:
       "join o_encounter on encounterid = cast(visit_occurrence_id as varchar)")
 def _parent(s) -> DataFrame:
     enc = encounters.encounter_columns(s)
-    return s["condition_occurrence"].join(enc, fn.text_id("visit_occurrence_id") == F.col("_enc")).select(
+    return s["condition_occurrence"].join(enc, F.col("visit_occurrence_id") == F.col("_enc")).select(
         "condition_occurrence_id", "enc_type", "admit_date", "providerid")
 
 

@@ -174,8 +174,15 @@ def promote_primary(df: DataFrame) -> DataFrame:
 
 
 def encounter_columns(study: Study) -> DataFrame:
-    return study.target("encounter", encounter).select(
-        F.col("encounterid").alias("_enc"), F.col("patid").alias("_pat"), "enc_type", "admit_date", "providerid")
+    """What facts copy from their encounter, keyed by number. Without a finished encounter table
+    only these columns are derived: no payer, disposition or facility joins."""
+    if "encounter" in study.built:
+        return study.built["encounter"].select(
+            F.col("encounterid").cast("bigint").alias("_enc"), F.col("patid").cast("bigint").alias("_pat"),
+            "enc_type", "admit_date", "providerid")
+    df = lookup(visits_in_cohort(study), study.value_map, "Encounter type", "visit_concept_id", "enc_type", default="OT")
+    return df.select(F.col("visit_occurrence_id").alias("_enc"), F.col("person_id").alias("_pat"), "enc_type",
+                     F.to_date("visit_start_date").alias("admit_date"), text_id("provider_id").alias("providerid"))
 
 
 def diagnosis(study: Study) -> DataFrame:
@@ -184,7 +191,7 @@ def diagnosis(study: Study) -> DataFrame:
         ~F.col("condition_type_concept_id").isin(R.PROBLEM_LIST_TYPES)
         & since("condition_start_date", study.floor) & ~raw.rlike(R.NO_DIAGNOSIS_MARK))
     # encounters are exactly the cohort visits, so this join is the cohort test too
-    df = rows.join(encounter_columns(study), text_id("visit_occurrence_id") == F.col("_enc")).drop("_enc", "_pat")
+    df = rows.join(encounter_columns(study), F.col("visit_occurrence_id") == F.col("_enc")).drop("_enc", "_pat")
     concept, vmap = study.concept, study.value_map
     df = concept_lookup(df, concept, "condition_concept_id", {"_std_code": "concept_code"}, how="inner")
     df = concept_lookup(df, concept, "condition_source_concept_id", {"_src_code": "concept_code", "_src_voc": "vocabulary_id"})
@@ -291,8 +298,8 @@ def raw_procedure_code(raw: Column) -> Column:
 
 def _with_encounter(df: DataFrame, study: Study) -> DataFrame:
     """Join to the encounter of the same visit and person, which also tests the cohort."""
-    return df.join(encounter_columns(study), (text_id("visit_occurrence_id") == F.col("_enc"))
-                   & (text_id("person_id") == F.col("_pat"))).drop("_enc", "_pat")
+    return df.join(encounter_columns(study), (F.col("visit_occurrence_id") == F.col("_enc"))
+                   & (F.col("person_id") == F.col("_pat"))).drop("_enc", "_pat")
 
 
 def procedures(study: Study) -> DataFrame:

@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}
+
+
 def stage_root(spark: SparkSession) -> str:
     """Shared folder the cluster names; a folder of our own only where none is named (tests)."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="cliniform-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    if named:
+        return named
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="cliniform-")
+    return _own[app]
 
 
 def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
