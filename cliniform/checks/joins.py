@@ -121,11 +121,11 @@ def _link(s) -> DataFrame:
 WIDE = "person_id, visit_occurrence_id, measurement_date, measurement_datetime::varchar as measured_at, ht, wt, bmi"
 
 
-@case("join_self_pivot", f"select {WIDE}, systolic as sys, diastolic as dia, sys_raw, dia_raw from o_wide")
+@case("join_self_pivot", f"select {WIDE}, systolic as sys, diastolic as dia, sys_concept, sys_raw, dia_raw from o_wide")
 def _pivot(s) -> DataFrame:
     wide = vitals.widen(vitals.cohort_signs(s), s["fact_relationship"])
     return wide.select("person_id", "visit_occurrence_id", "measurement_date", F.date_format("measurement_datetime", "yyyy-MM-dd HH:mm:ss").alias("measured_at"),
-                       "ht", "wt", "bmi", "sys", "dia", "sys_raw", "dia_raw").distinct()
+                       "ht", "wt", "bmi", "sys", "dia", "sys_concept", "sys_raw", "dia_raw").distinct()
 
 
 @case("join_parent_enrich", "select condition_occurrence_id, enc_type, admit_date, providerid from condition_occurrence "

@@ -494,12 +494,12 @@ class SourceTables(Mapping[str, DataFrame]):
         return len(self._texts)
 
 
-_studies: dict[tuple[int, str], Study] = {}
+_studies: dict[tuple[str, str], Study] = {}
 
 
 def study(spark: SparkSession, folder: str) -> Study:
     """The test study over a folder of raw tables."""
-    key = (id(spark), folder)
+    key = (spark.sparkContext.applicationId, folder)
     if key not in _studies:
         tune(spark)
         _studies[key] = Study(SourceTables(spark, folder), SITE, FLOOR, TODAY, local_vocabulary="Local")
