@@ -34,24 +34,28 @@ def keep_person_visits(df: DataFrame, cohort: DataFrame, person: str = "person_i
     return df.join(pairs, (F.col(visit) == F.col("_v")) & (F.col(person) == F.col("_p")), "left_semi")
 
 
-def member_flag(df: DataFrame, keys: DataFrame, key: Column, out: str) -> DataFrame:
+def member_flag(df: DataFrame, keys: DataFrame, key: Column, out: str, scanned: bool = False) -> DataFrame:
     """Add a never-NULL flag telling whether ``key`` is in the one-column set ``keys``.
 
-    Rows without a key are spread over tasks by a salt the set never carries.
+    A set of codes is broadcast or salted like any dimension. A ``scanned`` set is the key column of
+    a large table: it is not copied per salt, since the adaptive engine can split a hot key between two
+    plain scans; only rows without a key are spread, by a salt the set never carries.
     """
     name = keys.columns[0]
-    salt = F.when(key.isNull(), F.lit(1) + spread_over(df, 64)).otherwise(F.lit(0))
-    left = df.withColumn("_n", salt)
-    right = keys.select(F.col(name).alias("_m"), F.lit(0).cast("bigint").alias("_z"), F.lit(True).alias(out))
-    if is_small(keys):
-        right = F.broadcast(right)
-    joined = left.join(right, (key == F.col("_m")) & (F.col("_n") == F.col("_z")), "left")
-    return joined.withColumn(out, F.coalesce(F.col(out), F.lit(False))).drop("_n", "_m", "_z")
+    marked = keys.select(F.col(name).alias("_m"), F.lit(True).alias(out))
+    if not scanned or is_small(keys):
+        joined = attach(df, marked, [(key, "_m")], small=is_small(keys))
+    else:
+        salt = F.when(key.isNull(), F.lit(1) + spread_over(df, 64)).otherwise(F.lit(0))
+        right = marked.withColumn("_z", F.lit(0).cast("bigint"))
+        joined = df.withColumn("_n", salt).join(right, (key == F.col("_m")) & (F.col("_n") == F.col("_z")), "left")
+        joined = joined.drop("_n", "_m", "_z")
+    return joined.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
 def keep_absent_or_visits(df: DataFrame, cohort: DataFrame, visit: str = "visit_occurrence_id") -> DataFrame:
     """Facts without a visit, or with one in the cohort."""
-    flagged = member_flag(df, cohort.select("visit_id"), F.col(visit), "_in")
+    flagged = member_flag(df, cohort.select("visit_id"), F.col(visit), "_in", scanned=True)
     return flagged.where(F.col(visit).isNull() | F.col("_in")).drop("_in")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import attach, is_small
+from .sizing import attach
 
 
 def delete_where(df: DataFrame, cond: Column) -> DataFrame:
@@ -44,7 +44,4 @@ def update_by_raw(df: DataFrame, rules: DataFrame, raw: Column, guard: Column, t
 def flag_ids(df: DataFrame, ids: DataFrame, key: str, out: str) -> DataFrame:
     """Mark rows whose key is in a one-column id set."""
     marks = ids.select(F.col(ids.columns[0]).alias("_f"), F.lit(True).alias(out)).distinct()
-    if is_small(marks):
-        marks = F.broadcast(marks)
-    return df.join(marks, F.col(key) == F.col("_f"), "left").drop("_f").withColumn(
-        out, F.coalesce(F.col(out), F.lit(False)))
+    return attach(df, marks, [(F.col(key), "_f")]).withColumn(out, F.coalesce(F.col(out), F.lit(False)))

@@ -222,7 +222,7 @@ def immunization(study: Study) -> DataFrame:
     df = df.withColumn("vx_code", vaccine_code(F.col("immunization_concept_id"), F.col("_code"), raw))
     df = member_flag(df, codes_of(concept, "code", ["CVX"]), F.col("vx_code"), "_is_cvx")
     done = study["procedure_occurrence"].select(F.col("procedure_occurrence_id").alias("_proc"))
-    df = member_flag(df, done, F.col("procedure_occurrence_id"), "_linked")
+    df = member_flag(df, done, F.col("procedure_occurrence_id"), "_linked", scanned=True)
     return conform(df.select(
         text_id("immunization_id").alias("immunizationid"), text_id("person_id").alias("patid"),
         text_id("visit_occurrence_id").alias("encounterid"),
