@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -14,13 +16,21 @@ _own: dict[str, str] = {}
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Shared folder the cluster names; a folder of our own only where none is named (tests)."""
+    """Shared folder named by ``spark.checkpoint.dir``.
+
+    Unset on a cluster is an error: executors would each write to a disk that no other sees. With a
+    local master, where driver and tasks are one process, an own folder is made and removed at exit.
+    """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="cliniform-")
+        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
     return _own[app]
 
 
