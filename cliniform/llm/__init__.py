@@ -4,11 +4,15 @@
 can express.
 """
 
+from .mixing import op6_mix
+from .rules import op10_quality_rules
 from .tokens import op4_bpe, op7_token_counts
 
 QUERIES = {
     "op4_bpe": op4_bpe,
+    "op6_mix": op6_mix,
     "op7_token_counts": op7_token_counts,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {}
