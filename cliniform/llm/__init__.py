@@ -7,12 +7,16 @@ can express.
 from .mixing import op6_mix
 from .rules import op10_quality_rules
 from .tokens import op4_bpe, op7_token_counts
+from .topk import OP9_SQL, op9_topk
+from .warc import OP5_SQL, op5_warc
 
 QUERIES = {
     "op4_bpe": op4_bpe,
+    "op5_warc": op5_warc,
     "op6_mix": op6_mix,
     "op7_token_counts": op7_token_counts,
+    "op9_topk": op9_topk,
     "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op9_topk": OP9_SQL}
