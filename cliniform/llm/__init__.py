@@ -6,11 +6,13 @@ can express.
 
 from .mixing import op6_mix
 from .rules import op10_quality_rules
+from .simhash import op1_simhash
 from .tokens import op4_bpe, op7_token_counts
 from .topk import OP9_SQL, op9_topk
 from .warc import OP5_SQL, op5_warc
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op4_bpe": op4_bpe,
     "op5_warc": op5_warc,
     "op6_mix": op6_mix,
