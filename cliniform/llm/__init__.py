@@ -5,6 +5,7 @@ can express.
 """
 
 from .mixing import op6_mix
+from .quality import op8_quality
 from .rules import op10_quality_rules
 from .simhash import op1_simhash
 from .tokens import op4_bpe, op7_token_counts
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_mix": op6_mix,
     "op7_token_counts": op7_token_counts,
+    "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_quality_rules": op10_quality_rules,
 }
