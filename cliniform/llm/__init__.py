@@ -11,9 +11,11 @@ from .simhash import op1_simhash
 from .tokens import op4_bpe, op7_token_counts
 from .topk import OP9_SQL, op9_topk
 from .warc import OP5_SQL, op5_warc
+from .wrapper import op2_extract
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_extract": op2_extract,
     "op4_bpe": op4_bpe,
     "op5_warc": op5_warc,
     "op6_mix": op6_mix,
