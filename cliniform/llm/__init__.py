@@ -7,6 +7,7 @@ can express.
 from .mixing import op6_mix
 from .quality import op8_quality
 from .rules import op10_quality_rules
+from .secrets import op3_secrets
 from .simhash import op1_simhash
 from .tokens import op4_bpe, op7_token_counts
 from .topk import OP9_SQL, op9_topk
@@ -16,6 +17,7 @@ from .wrapper import op2_extract
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_extract": op2_extract,
+    "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
     "op5_warc": op5_warc,
     "op6_mix": op6_mix,
