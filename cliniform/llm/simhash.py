@@ -229,18 +229,37 @@ def components(edges: DataFrame) -> DataFrame:
         now = small
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """Every row's id, ``bits`` (its fingerprint) and ``component_id``, the least id of its component."""
+def linked(marked: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Rows (``doc_id``, ``bits``) with ``root``, the fingerprint that names their component, and ``component_id``,
+    its least id."""
     if distance + 1 != len(LEVELS[0]):
         raise ValueError(f"the blocks serve distances of {len(LEVELS[0]) - 1}")
-    narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    marked = staged(fingerprints(narrow, "text", "bits", shingle).select("doc_id", "bits"), "fingerprints")
     distinct = staged(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "distinct")
     found = components(links(groups(distinct), distance))
     rooted = distinct.join(found, distinct["bits"] == found["node"], "left").select("bits", "first_id", F.coalesce("root", "bits").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_bits = staged(rooted.join(named, "root").select("bits", "component_id"), "classes")
-    return marked.join(of_bits, "bits").select("doc_id", "bits", "component_id")
+    of_bits = staged(rooted.join(named, "root").select("bits", "root", "component_id"), "classes")
+    return marked.join(of_bits, "bits").select("doc_id", "bits", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Every row's ``doc_id``, ``bits`` (its fingerprint), ``root`` and ``component_id``, the least id of its component."""
+    narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return linked(staged(fingerprints(narrow, "text", "bits", shingle).select("doc_id", "bits"), "fingerprints"), distance)
+
+
+def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One row of each component, that with the least id, with all columns of ``docs``.
+
+    Of rows that share the least id, and of components without any id, the row with the least fingerprint is
+    taken, of equal ones any.
+    """
+    bits = free_name(docs, "_bits")
+    marked = staged(fingerprints(docs, text, bits, shingle), "marked")
+    found = linked(marked.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(bits).alias("bits")), distance)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("bits").alias("kept_bits"), F.first("component_id").alias("kept_id"))
+    kept = marked.join(first, (F.col(bits) == F.col("kept_bits")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("kept_id")), "left_semi")
+    return kept.dropDuplicates([doc_id, bits]).select([f"`{c}`" for c in docs.columns])
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
