@@ -28,17 +28,17 @@ COMMON = {
     "fr": "de la le et les des en un du une que pour est qui dans par pas au sur avec",
     "es": "de la que el en y los se del las por un no con su una es para al lo",
 }
-#: Character classes, each given by what is not in it (fixed values); what is in none is the last class.
-OUTSIDE = {"lower": r"[^\p{Ll}\p{Lo}]+", "upper": r"[^\p{Lu}\p{Lt}]+", "digit": r"\P{N}+", "stop": r"[^.,;:?'\"()\-]+",
-           "symbol": r"[^!#*$%&|<>=_@+/\\~^{}\[\]]+", "blank": r"\S+"}
+#: Character classes, each given by what is not in it (fixed values). ASCII blanks are a class too, and all
+#: other characters, most of them small letters, are the last one.
+OUTSIDE = {"upper": r"[^\p{Lu}\p{Lt}]+", "digit": r"\P{N}+", "stop": r"[^.,;:?'\"()\-]+", "symbol": r"[^!#*$%&|<>=_@+/\\~^{}\[\]]+"}
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Largest distance from the reference, and fewest entries of a histogram and of a reference that count.
-MAX_CHARS = 0.30
-MAX_COMMON = 0.40
+MAX_CHARS = 0.26
+MAX_COMMON = 0.31
 LEAST_CHARS = 100
-LEAST_WORDS = 50
+LEAST_WORDS = 80
 LEAST_REFERENCE = 2000
 
 
@@ -84,13 +84,14 @@ def histograms(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     of all other words). Needs ``_words`` of ``base_counts``."""
     body = F.coalesce(F.col(text), F.lit(""))
     counted = df.withColumns({f"_{name}": F.length(F.regexp_replace(body, other, "")) for name, other in OUTSIDE.items()})
-    named = [F.col(f"_{name}") for name in OUTSIDE]
+    counted = counted.withColumn("_blank", F.length(body) - F.col("word_chars"))
+    named = [F.col(f"_{name}") for name in (*OUTSIDE, "blank")]
     chars = F.array(*[x.cast("double") for x in named], F.greatest(F.length(body) - reduce(lambda a, b: a + b, named), F.lit(0)).cast("double"))
     # every word stands between blanks of its own, so that a word is found by plain search
     counted = counted.withColumn("chars", chars).withColumn("_spaced", F.lower(F.concat(F.lit(" "), F.array_join("_words", "  "), F.lit(" "))))
 
     def uses(word: str) -> Column:
-        return ((F.length("_spaced") - F.length(F.replace(F.col("_spaced"), F.lit(f" {word} "), F.lit("")))) / (len(word) + 2)).cast("double")
+        return ((F.octet_length("_spaced") - F.octet_length(F.replace(F.col("_spaced"), F.lit(f" {word} "), F.lit("")))) / (len(word.encode()) + 2)).cast("double")
 
     def bins(words: list[str]) -> Column:
         return F.array(*[uses(w) for w in words])
@@ -100,17 +101,16 @@ def histograms(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     counted = counted.withColumn("_bins", own.otherwise(bins(every)))
     found = F.aggregate("_bins", F.lit(0.0), lambda a, x: a + x)
     return (counted.withColumn("common", F.concat(F.col("_bins"), F.array(F.greatest(F.col("n_words") - found, F.lit(0.0)))))
-            .drop("_words", "_spaced", "_bins", *[f"_{name}" for name in OUTSIDE]))
+            .drop("_words", "_spaced", "_bins", *[f"_{name}" for name in (*OUTSIDE, "blank")]))
 
 
 def total(histogram: Column) -> Column:
     return F.aggregate(histogram, F.lit(0.0), lambda a, x: a + x)
 
 
-def js_distance(one: Column, other: Column) -> Column:
-    """Jensen-Shannon distance of two histograms of the same bins; null if either is empty."""
-    a, b = total(one), total(other)
-
+def js_distance(one: Column, other: Column, a: Column, b: Column) -> Column:
+    """Jensen-Shannon distance of two histograms of the same bins with the totals ``a`` and ``b`` (columns, so
+    that they are not summed again for every bin); null if either is empty."""
     def half(p: Column, q: Column) -> Column:
         return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
 
@@ -123,7 +123,7 @@ def references(counted: DataFrame, lang: str = "lang") -> DataFrame:
 
     A language is a short code out of a small set, and the sums are taken before the shuffle.
     """
-    lengths = {"chars": len(OUTSIDE) + 1, "common": 1 + max(len(v.split()) for v in COMMON.values())}
+    lengths = {"chars": len(OUTSIDE) + 2, "common": 1 + max(len(v.split()) for v in COMMON.values())}
     sums = [F.array(*[F.coalesce(F.sum(F.get(name, F.lit(i))), F.lit(0.0)) for i in range(n)]).alias(f"ref_{name}") for name, n in lengths.items()]
     return counted.groupBy(F.col(lang).alias("ref_lang")).agg(*sums)
 
@@ -136,9 +136,12 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "
     refs = references(counted)
     # at most one row per known language and one for the rest
     both = counted.join(F.broadcast(refs), F.col("lang") == F.col("ref_lang"), "left")
-    refs_common = F.slice("ref_common", F.lit(1), F.size("common"))
-    chars = F.when((total(F.col("chars")) >= LEAST_CHARS) & (total(F.col("ref_chars")) >= LEAST_REFERENCE), js_distance(F.col("chars"), F.col("ref_chars")))
-    common = F.when((F.col("n_words") >= LEAST_WORDS) & (total(refs_common) >= LEAST_REFERENCE) & (F.col("lang") != ""), js_distance(F.col("common"), refs_common))
+    both = both.withColumn("ref_common", F.slice("ref_common", F.lit(1), F.size("common")))
+    both = both.withColumns({f"all_{c}": total(F.col(c)) for c in ("chars", "common", "ref_chars", "ref_common")})
+    chars = F.when((F.col("all_chars") >= LEAST_CHARS) & (F.col("all_ref_chars") >= LEAST_REFERENCE),
+                   js_distance(F.col("chars"), F.col("ref_chars"), F.col("all_chars"), F.col("all_ref_chars")))
+    common = F.when((F.col("n_words") >= LEAST_WORDS) & (F.col("all_ref_common") >= LEAST_REFERENCE) & (F.col("lang") != ""),
+                    js_distance(F.col("common"), F.col("ref_common"), F.col("all_common"), F.col("all_ref_common")))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     far = F.coalesce(F.col("char_distance") > MAX_CHARS, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_COMMON, F.lit(False))
     return (both.withColumn("char_distance", chars).withColumn("word_distance", common).withColumn("base_failed", base)
