@@ -23,7 +23,7 @@ def blank(table: str, **known: str) -> str:
         kind = f.type.simpleString()
         kind = "double" if kind.startswith("decimal") else {"string": "varchar"}.get(kind, kind)
         if kind == "double" and f.name in known:
-            out.append(f"cast(cast({known[f.name]} as {f.type.simpleString()}) as double) as {f.name}")
+            out.append(f"cast(try_cast({known[f.name]} as {f.type.simpleString()}) as double) as {f.name}")
         else:
             out.append(f"cast({known.get(f.name, 'null')} as {kind}) as {f.name}")
     if TABLES[table].has_site:
@@ -550,9 +550,9 @@ case("pipe_obs_clin", f"""select {blank("obs_clin", **{c: c for c in TABLES["obs
             case measurement_concept_id when 4353936 then '250774007' end as obsclin_result_snomed,
             coalesce({mapped("abnormal_indicator", "value_as_concept_id")}, 'NI') as obsclin_abn_ind,
             {classified("value_source_value", RESULT_TEXT, mapped("Result qualifier", "value_as_concept_id"))} as obsclin_result_qual,
-            value_as_number::varchar as obsclin_result_text,
+            regexp_replace(value_as_number::varchar, '\\.0$', '') as obsclin_result_text,
             replace(coalesce({_MOD}, 'OT'), 'NO', 'UN') as obsclin_result_modifier, {mapped("Result unit", "unit_concept_id")} as obsclin_result_unit,
-            value_as_number::varchar as raw_obsclin_result, unit_concept_name as raw_obsclin_unit,
+            regexp_replace(value_as_number::varchar, '\\.0$', '') as raw_obsclin_result, unit_concept_name as raw_obsclin_unit,
             null as raw_obsclin_name, null as raw_obsclin_type, null as raw_obsclin_code
         from measurement m left join concept c on c.concept_id = measurement_concept_id and c.vocabulary_id = 'LOINC'
         where measurement_concept_id in {quoted(R.CLINICAL_CONCEPTS)} and m.person_id in (select person_id from cohort_person)
@@ -587,7 +587,7 @@ VIEWS["o_general"] = f"""select 'a' || adt_occurrence_id as obsgenid, a.person_i
             case measurement_concept_id when 2000001422 then 'Y' else 'N' end, 'HC', coalesce({mapped("abnormal_indicator", "value_as_concept_id")}, 'NI'),
             {classified("value_source_value", GENERAL_RESULT_TEXT, mapped("Result qualifier", "value_as_concept_id"))}, value_as_number,
             replace({_MOD}, 'NO', 'UN'), coalesce({mapped("Result unit", "unit_concept_id")}, '{{ratio}}'), null, null, null, null,
-            value_as_number::varchar, null, unit_concept_name || unit_source_value
+            regexp_replace(value_as_number::varchar, '\\.0$', ''), null, unit_concept_name || unit_source_value
         from measurement where measurement_concept_id in {quoted(R.GENERAL_MEASUREMENTS)}
         union all
         select 'd' || device_exposure_id, d.person_id, d.visit_occurrence_id, d.provider_id, device_exposure_start_date,
@@ -598,8 +598,8 @@ VIEWS["o_general"] = f"""select 'a' || adt_occurrence_id as obsgenid, a.person_i
         left join concept c on c.concept_id = device_concept_id and c.vocabulary_id = 'SNOMED' and c.domain_id = 'Device'
         where device_concept_id in {quoted(R.DEVICE_CONCEPTS)}
         union all
-        select 'L' || geocode_id || location_id || person_id || '-' || left(sha256(coalesce('=' || start_date::varchar, '~') || '|'
-                || coalesce('=' || end_date::varchar, '~') || '|' || coalesce('=' || site, '~')), 16), person_id, null, null, coalesce(start_date, date '{TODAY}'), null,
+        select 'L' || sha256('=' || geocode_id || '|=' || location_id || '|=' || person_id || '|' || coalesce('=' || start_date::varchar, '~') || '|'
+                || coalesce('=' || end_date::varchar, '~') || '|' || coalesce('=' || site, '~')), person_id, null, null, coalesce(start_date, date '{TODAY}'), null,
             end_date, null, 'LC', '49084-7', {_BLOCK}, null, null, null, null, null, null, location_id::varchar, 'LDS', null, 'Census Block Group',
             location_id || ' - ' || {_BLOCK}, geocode_year::varchar, geocode_shapefile
         from o_places join location_fips using (location_id) where person_id in (select person_id from cohort_person)"""

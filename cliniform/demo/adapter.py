@@ -312,13 +312,13 @@ def sources(spark_dialect: bool) -> dict[str, str]:
                 case when l_partkey % 4 = 0 then null else ship_date end as measurement_result_date,
                 case when l_partkey % 4 = 0 then null else {at("ship_date", 16, 45)} end as measurement_result_datetime,
                 case when l_linenumber % 4 = 0 then 'POC ' || l_returnflag else l_returnflag end as measurement_source_value,
-                case when l_suppkey % 7 = 0 then null else cast(qty as double) end as value_as_number,
+                case when l_suppkey % 7 = 0 then null when l_partkey % 53 = 5 then cast(25000000.5 as double) when l_partkey % 53 = 6 then cast(0.0001 as double) when l_partkey % 53 = 7 then cast(12345678 as double) else cast(qty as double) end as value_as_number,
                 {pick("l_partkey + l_suppkey", [9191, 9189, None, 0])} as value_as_concept_id,
                 {pick("l_partkey + l_linenumber", _RESULT_TEXTS)} as value_source_value,
                 {pick("l_partkey + qty", [8840, 8647, 8999, None, 8998, 1, 8997])} as unit_concept_id,
                 {pick("l_suppkey + qty", _UNITS)} as unit_source_value, {pick("qty", ["milligram", "count", None])} as unit_concept_name,
                 {pick("l_suppkey", operators)} as operator_concept_id,
-                case when qty % 3 = 0 then null else cast(qty % 10 as double) end as range_low,
+                case when qty % 3 = 0 then null when l_partkey % 41 = 3 then cast(0.0005 as double) else cast(qty % 10 as double) end as range_low,
                 case when qty % 5 = 0 then null else cast(qty as double) + 0.5 end as range_high,
                 {pick("l_partkey", operators)} as range_low_operator_concept_id, {pick("qty", operators)} as range_high_operator_concept_id,
                 {pick("qty", [4044019, 4210605, None])} as priority_concept_id, {pick("l_partkey", [4001225, 4001226, None, 1])} as specimen_concept_id,

@@ -20,9 +20,11 @@ from ..sources.study import Study
 
 
 def number_text(c: str | Column) -> Column:
-    """Number as text without a needless '.0'."""
+    """Number in plain digits, without needless zeros. Beyond 20 digits before the point or 18 behind
+    it, the engine's own notation stays."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(col.cast("string"), r"\.0$", "")
+    plain = F.regexp_replace(F.regexp_replace(col.try_cast("decimal(38,18)").cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    return F.coalesce(F.when((col == 0) | (F.abs(col) >= 1e-16), plain), F.regexp_replace(col.cast("string"), r"\.0$", ""))
 
 
 def range_modifier(low: Column, high: Column, low_name: Column, high_name: Column) -> Column:

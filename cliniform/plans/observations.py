@@ -15,6 +15,7 @@ from ..rules import visits as R
 from ..rules.results import GENERAL_RESULT_TEXT, RESULT_TEXT
 from ..sources.model import conform
 from ..sources.study import Study
+from .labs import number_text
 
 
 def no_to_unknown(modifier: Column) -> Column:
@@ -33,7 +34,7 @@ def _clinical_measurements(study: Study) -> DataFrame:
     df = lookup(df, vmap, "Result unit", "unit_concept_id", "_unit")
     df = lookup(df, vmap, "Result modifier", "operator_concept_id", "_mod", default="OT")
     oxygen = F.col("measurement_concept_id") == R.OXYGEN_CONCEPT
-    number = F.col("value_as_number").cast("string")
+    number = number_text("value_as_number")
     return df.select(
         text_id("measurement_id", "m").alias("obsclinid"), text_id("person_id").alias("patid"),
         text_id("visit_occurrence_id").alias("encounterid"), text_id("provider_id").alias("obsclin_providerid"),
@@ -150,7 +151,7 @@ def epidemic_results(study: Study) -> DataFrame:
         obsgen_result_text=F.when(F.col("measurement_concept_id") == R.EPIDEMIC_RESULT, "Y").otherwise("N"),
         obsgen_result_qual=classify("value_source_value", GENERAL_RESULT_TEXT, "OT", F.col("_qual"), study.classifier_mode),
         obsgen_result_num=F.col("value_as_number"), obsgen_result_modifier=no_to_unknown(F.col("_mod")),
-        obsgen_result_unit=F.col("_unit"), obsgen_abn_ind=F.col("_abn"), raw_obsgen_result=F.col("value_as_number"),
+        obsgen_result_unit=F.col("_unit"), obsgen_abn_ind=F.col("_abn"), raw_obsgen_result=number_text("value_as_number"),
         raw_obsgen_unit=F.concat("unit_concept_name", "unit_source_value"))
 
 
@@ -187,10 +188,10 @@ def census_blocks(study: Study) -> DataFrame:
     df = attach(df, fips, [(F.col("location_id"), "_loc")], "inner")
     block = F.concat(*[F.col(f"geocode_{p}").cast("string") for p in ("state", "county", "tract", "group", "block")])
     place = text_id("location_id")
-    # a digest of the period in place of a running number: stable, and no global sort
-    period = F.left(row_key("start_date", "end_date", "site"), F.lit(16))
+    # a digest of all that makes the row in place of a running number: stable, unique, and no global sort
+    key = row_key("geocode_id", "location_id", "person_id", "start_date", "end_date", "site")
     return _general(
-        df, obsgenid=F.concat(text_id("geocode_id", "L"), place, text_id("person_id"), F.lit("-"), period),
+        df, obsgenid=F.concat(F.lit("L"), key),
         patid=text_id("person_id"), obsgen_code=F.lit(R.CENSUS_CODE), obsgen_id_modified=place, obsgen_result_text=block,
         obsgen_start_date=F.coalesce("start_date", study.today_column), obsgen_stop_date=F.col("end_date"),
         obsgen_table_modified=F.lit("LDS"), obsgen_type=F.lit("LC"), raw_obsgen_name=F.lit("Census Block Group"),
