@@ -21,7 +21,7 @@ def blank(table: str, **known: str) -> str:
     out = []
     for f in TABLES[table].fields:
         kind = f.type.simpleString()
-        kind = "double" if kind.startswith("decimal") else {"string": "varchar"}.get(kind, kind)
+        kind = "double" if kind.startswith("decimal") else {"string": "varchar", "timestamp_ntz": "timestamp"}.get(kind, kind)
         if kind == "double" and f.name in known:
             out.append(f"cast(try_cast({known[f.name]} as {f.type.simpleString()}) as double) as {f.name}")
         else:
@@ -522,22 +522,20 @@ VIEWS["o_wide"] = f"""select distinct b.person_id, b.visit_occurrence_id, b.meas
     left join fact_relationship f on f.fact_id_1 = sys.measurement_id and f.domain_concept_id_1 = 21 and f.domain_concept_id_2 = 21
     left join o_signs dia on dia.measurement_id = f.fact_id_2 and dia.visit_occurrence_id = b.visit_occurrence_id
         and dia.measurement_concept_id in {quoted(R.DIASTOLIC)}"""
-_VITAL = ["bp_position", "diastolic", "encounterid", "ht", "measure_date", "measure_time", "original_bmi", "patid", "raw_diastolic",
-          "raw_smoking", "raw_systolic", "raw_tobacco", "raw_tobacco_type", "smoking", "systolic", "tobacco", "tobacco_type",
-          "vital_source", "wt"]
-
-
-@case("pipe_vital", "select distinct * exclude (vitalid) from (select " + blank(
-    "vital", bp_position="coalesce(" + mapped("BP Position", "sys_concept") + ", 'OT')", diastolic="diastolic",
-    encounterid="w.visit_occurrence_id", ht="ht * 0.393701::double", measure_date="measurement_date", measure_time=clock("measurement_datetime"),
-    original_bmi="bmi", patid="person_id", raw_diastolic="dia_raw", raw_smoking="smoking", raw_systolic="sys_raw", raw_tobacco="tobacco",
-    raw_tobacco_type="tobacco_type", smoking="smoking", systolic="systolic", tobacco="tobacco", tobacco_type="tobacco_type",
-    vital_source="'HC'", wt="wt * 2.20462::double") + """
+_VITAL = {
+    "bp_position": "left(coalesce(" + mapped("BP Position", "sys_concept") + ", 'OT'), 2)", "diastolic": "diastolic",
+    "encounterid": "w.visit_occurrence_id::varchar", "ht": "ht * 0.393701::double", "measure_date": "measurement_date",
+    "measure_time": clock("measurement_datetime"), "original_bmi": "bmi", "patid": "person_id::varchar", "raw_diastolic": "dia_raw",
+    "raw_smoking": "smoking", "raw_systolic": "sys_raw", "raw_tobacco": "tobacco", "raw_tobacco_type": "tobacco_type",
+    "smoking": "left(smoking, 2)", "systolic": "systolic", "tobacco": "left(tobacco, 2)", "tobacco_type": "left(tobacco_type, 2)",
+    "vital_source": "'HC'", "wt": "wt * 2.20462::double"}
+_VITAL_KEY = "sha256(" + " || '|' || ".join(
+    "coalesce('=' || " + (f"printf('%.6f', {c})" if c in ("diastolic", "ht", "original_bmi", "systolic", "wt") else f"{c}::varchar") + ", '~')"
+    for c in _VITAL) + ")"
+case("pipe_vital", f"""select {blank("vital", vitalid=_VITAL_KEY, **{c: c for c in _VITAL})} from (
+    select distinct {", ".join(f"{e} as {c}" for c, e in _VITAL.items())}
     from o_wide w left join o_tobacco t on t.visit_occurrence_id = w.visit_occurrence_id and t.observation_datetime = w.measurement_datetime
-    where coalesce(ht, wt, diastolic, systolic, bmi) is not null)""")
-def _vital(s):
-    # the digest id is left out: it is a hash of the other columns
-    return vitals.vital(s).drop("vitalid")
+    where coalesce(ht, wt, diastolic, systolic, bmi) is not null)""")(vitals.vital)
 
 
 _CLIN_TIME = clock("measurement_datetime")

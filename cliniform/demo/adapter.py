@@ -278,8 +278,8 @@ def sources(spark_dialect: bool) -> dict[str, str]:
                 case when event_id % 10 = 0 then 'south' else '{SITE}' end as site
             from events""",
         "observation_derivation_covid": f"""
-            select o_orderkey as observation_id, o_custkey as person_id, o_orderkey as visit_occurrence_id,
-                {pick("o_orderkey", [2000001411, 1])} as observation_concept_id, cast(o_orderdate as date) as observation_date,
+            select case when o_orderkey % 10 = 6 then o_orderkey + 1 else o_orderkey end as observation_id, o_custkey as person_id,
+                o_orderkey as visit_occurrence_id, {pick("o_orderkey", [2000001411, 1])} as observation_concept_id, cast(o_orderdate as date) as observation_date,
                 {pick("o_custkey", [2000001411, 2000001412, 2000001413, 2000001414])} as value_as_concept_id
             from orders""",
         "condition_occurrence": f"""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_column
-from .sizing import attach, is_small
+from .sizing import attach, is_small, setting
 
 # Columns of the value-set map
 CLASS, SOURCE, TARGET, LABEL, DESCRIPTION, VALUE = (
@@ -28,7 +28,7 @@ def all_entries(vmap: DataFrame, by: str) -> DataFrame:
     """
     known = _shared.setdefault(vmap, {})
     if by not in known:
-        part = vmap.coalesce(1) if is_small(vmap) else vmap
+        part = vmap
         key = F.concat(F.col(CLASS), F.lit(_SEP), F.coalesce(F.col(by), F.lit(_NULL)))
         known[by] = part.groupBy(key.alias("_key")).agg(F.min(TARGET).alias("_target"))
     return known[by]
@@ -36,15 +36,10 @@ def all_entries(vmap: DataFrame, by: str) -> DataFrame:
 
 def entries(vmap: DataFrame, cls: str | list[str], keys: dict[str, Column], take: dict[str, str],
             where: Column | None = None) -> DataFrame:
-    """One row per key of one map class; among several the least taken values win.
-
-    A small map is gathered into one partition first, so grouping it needs no exchange.
-    """
+    """One row per key of one map class; among several the least taken values win."""
     part = vmap.where(F.col(CLASS).isin(cls if isinstance(cls, list) else [cls]))
     if where is not None:
         part = part.where(where)
-    if is_small(vmap):
-        part = part.coalesce(1)
     named = part.select(*[e.alias(k) for k, e in keys.items()],
                         *[F.col(s).alias(o) for o, s in take.items()])
     outs = list(take)
@@ -108,9 +103,10 @@ def lookup_contained(df: DataFrame, vmap: DataFrame, cls: str, text: Column, out
                      where: Column | None = None) -> DataFrame:
     """Find the map entry whose text *contains* the fact text (not the other way round).
 
-    The map is a bounded rule table of texts of at most 200 characters, so all substrings of
-    its entries are laid out once; "contains" turns into equality and no pair of a fact and a
-    map row is ever tested. Empty fact texts find nothing.
+    All substrings of the map's texts are laid out once; "contains" turns into equality and no pair of a
+    fact and a map row is ever tested. What is laid out is measured first, from the lengths of the texts
+    (its size grows with their third power): within the bound it is broadcast, beyond it both sides are shuffled.
+    Empty fact texts find nothing.
     """
     k = f"_k_{out}"
     src = F.lower(F.col(by)) if fold else F.col(by)
@@ -124,7 +120,15 @@ def lookup_contained(df: DataFrame, vmap: DataFrame, cls: str, text: Column, out
     dim = pieces.groupBy(k).agg(F.min(F.struct(*outs)).alias("_row")).select(
         k, *[F.col(f"_row.{o}").alias(o) for o in outs])
     probe = F.lower(text) if fold else text
-    return attach(df, dim, [(probe, k)])
+    return attach(df, dim, [(probe, k)], small=laid_out_bytes(part, src) <= setting(vmap.sparkSession, "BROADCAST_BYTES"))
+
+
+def laid_out_bytes(part: DataFrame, text: Column) -> int:
+    """Bytes that :func:`substrings` makes of some texts: a text of n characters has n - l + 1 substrings of
+    length l, which come with some 80 bytes of row each. One row is fetched from one pass over the texts."""
+    n = F.length(text).cast("double")
+    total = n * (n + 1) * (n + 2) / 6 + 80 * n * (n + 1) / 2
+    return int(part.agg(F.coalesce(F.sum(total), F.lit(0.0))).first()[0])
 
 
 def concepts(dictionary: DataFrame, take: dict[str, str], vocabularies: list[str] | None = None,

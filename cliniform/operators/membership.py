@@ -7,7 +7,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import attach, is_small, spread_over
+from .sizing import attach, is_small, join_spread
 
 
 _persons: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
@@ -46,10 +46,7 @@ def member_flag(df: DataFrame, keys: DataFrame, key: Column, out: str, scanned:
     if not scanned or is_small(keys):
         joined = attach(df, marked, [(key, "_m")], small=is_small(keys))
     else:
-        salt = F.when(key.isNull(), F.lit(1) + spread_over(df, 64)).otherwise(F.lit(0))
-        right = marked.withColumn("_z", F.lit(0).cast("bigint"))
-        joined = df.withColumn("_n", salt).join(right, (key == F.col("_m")) & (F.col("_n") == F.col("_z")), "left")
-        joined = joined.drop("_n", "_m", "_z")
+        joined = join_spread(df, marked, key, "_m", "left").drop("_m")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
@@ -73,6 +70,8 @@ def drop_members(df: DataFrame, keys: DataFrame, *pairs: tuple[str, str], keep_n
     right = keys.select(*[F.col(k).alias(f"_x{i}") for i, (_, k) in enumerate(pairs)])
     if is_small(right):
         right = F.broadcast(right)
+    elif keep_null and len(pairs) == 1:
+        return join_spread(df, right, F.col(probe), "_x0", "left_anti")
     cond: Column | None = None
     for i, (p, _) in enumerate(pairs):
         test = F.col(p) == F.col(f"_x{i}")

@@ -7,8 +7,17 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Bound of a broadcast in planned bytes, copies of a larger dimension, and places for rows without a key. A
+# session may set others under the names in SETTINGS.
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
+NULL_SALTS = 64
+SETTINGS = {"BROADCAST_BYTES": "spark.cliniform.broadcastBytes", "SALTS": "spark.cliniform.joinSalts", "NULL_SALTS": "spark.cliniform.nullSalts"}
+
+
+def setting(spark: SparkSession, name: str) -> int:
+    """A session's own value of a bound, else the module's."""
+    return int(spark.conf.get(SETTINGS[name], str(globals()[name])))
 
 _sizes: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
@@ -39,8 +48,10 @@ def fixed_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame
     fields = [f.strip().split(" ") for f in schema.split(",")]
 
     def text(v: object) -> str:
-        if v is None or isinstance(v, (bool, int)):
-            return {None: "null", True: "true", False: "false"}.get(v, str(v))
+        if v is None:
+            return "null"
+        if isinstance(v, (bool, int)):
+            return str(v).lower()
         return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
     body = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
@@ -49,7 +60,17 @@ def fixed_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame
 
 
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    return planned_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+    return planned_bytes(df) <= (setting(df.sparkSession, "BROADCAST_BYTES") if limit is None else limit)
+
+
+def join_spread(left: DataFrame, right: DataFrame, key: Column, right_key: str, how: str) -> DataFrame:
+    """Join on a key that many left rows lack: those find nothing, so each is sent to one of several places
+    by its own ids instead of all to the place of NULL. Columns of the right side stay, but for the mark."""
+    absent = F.lit(1) + spread_over(left, setting(left.sparkSession, "NULL_SALTS"))
+    marked = left.withColumn("_place_l", F.when(key.isNull(), absent).otherwise(F.lit(0)).cast("bigint"))
+    # zero for every row, but computed: the optimiser would turn a literal into a filter and drop it from the join key
+    others = right.withColumn("_place_r", F.pmod(F.xxhash64(right_key), F.lit(1)))
+    return marked.join(others, (key == F.col(right_key)) & (F.col("_place_l") == F.col("_place_r")), how).drop("_place_l", "_place_r")
 
 
 def spread_over(df: DataFrame, salts: int, but: set[str] = frozenset()) -> Column:
@@ -72,7 +93,7 @@ def attach(
     ``on`` pairs a fact expression with a dimension column; the dimension columns are dropped.
     A dimension whose planned size is under the bound is broadcast, so the fact does not move.
     A larger one is copied once per salt and joined on key + salt, which splits a hot key
-    over ``SALTS`` tasks.
+    over as many tasks as there are salts (see ``SETTINGS``).
     """
     keys = [k for _, k in on]
     fits = is_small(dim) if small is None else small
@@ -80,9 +101,10 @@ def attach(
         right, pairs = F.broadcast(dim), on
         left = fact
     else:
-        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+        count = setting(dim.sparkSession, "SALTS")
+        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
         right = dim.withColumn("_salt_d", F.explode(salts))
-        left = fact.withColumn("_salt_f", spread_over(fact, SALTS))
+        left = fact.withColumn("_salt_f", spread_over(fact, count))
         pairs = [*on, (F.col("_salt_f"), "_salt_d")]
     cond: Column | None = None
     for expr, key in pairs:

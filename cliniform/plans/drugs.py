@@ -126,8 +126,9 @@ def dose_forms(study: Study) -> DataFrame:
     """Per drug concept, the least mapped code among its dose forms."""
     forms = study.concept.select(F.col("concept_id").alias("_form"))
     edges = study["concept_relationship"]
-    drugs = edges.where(F.col("relationship_id") == D.HAS_DOSE_FORM).select(F.col("concept_id_1").alias("_drug")).distinct()
-    hops = crosswalk(drugs, "_drug", edges, D.HAS_DOSE_FORM, forms, "_form")
+    # the edges of this kind name the drugs themselves: one pass over the graph
+    hops = edges.where(F.col("relationship_id") == D.HAS_DOSE_FORM).select(
+        F.col("concept_id_1").alias("_drug"), F.col("concept_id_2").alias("_to")).join(forms, F.col("_to") == F.col("_form"))
     mapped = lookup(hops, study.value_map, "Rx Dose Form", "_form", "dose_form")
     return smallest_per_key(mapped.select("_drug", "dose_form"), ["_drug"], "dose_form")
 
@@ -219,7 +220,7 @@ def immunization(study: Study) -> DataFrame:
     df = body_site(df, vmap, "imm_body_site_concept_id", "imm_body_site_source_value", "vx_body_site")
     df = manufacturer(df, vmap, "imm_manufacturer", "vx_manufacturer")
     raw = F.col("immunization_source_value")
-    df = df.withColumn("vx_code", vaccine_code(F.col("immunization_concept_id"), F.col("_code"), raw))
+    df = df.withColumn("vx_code", vaccine_code(F.col("immunization_concept_id"), F.col("_code"), raw, study.classifier_mode))
     df = member_flag(df, codes_of(concept, "code", ["CVX"]), F.col("vx_code"), "_is_cvx")
     done = study["procedure_occurrence"].select(F.col("procedure_occurrence_id").alias("_proc"))
     df = member_flag(df, done, F.col("procedure_occurrence_id"), "_linked", scanned=True)

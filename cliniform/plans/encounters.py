@@ -11,11 +11,12 @@ from ..operators.lookup import (DESCRIPTION, SOURCE, TARGET, VALUE, codes_of, co
                                 lookup_pair)
 from ..operators.membership import keep_persons, keep_visits, member_flag
 from ..operators.rules import code_levels
-from ..operators.sizing import attach, is_small
+from ..operators.sizing import attach, is_small, join_spread
 from ..operators.update import delete_where, set_where
 from ..rules import drugs as D
 from ..rules import visits as R
 from ..sources.model import conform
+from ..sources.stage import staged
 from ..sources.study import Study
 
 
@@ -169,8 +170,10 @@ def promote_primary(df: DataFrame) -> DataFrame:
     chosen = (df.where(scope).groupBy("encounterid", "enc_type")
               .agg(F.count_if(F.col("pdx") == R.PRIMARY).alias("_n"), F.min("diagnosisid").alias("_first"))
               .where("_n = 0").select("_first", F.lit(True).alias("_flip")))
-    joined = df.join(chosen, F.col("diagnosisid") == F.col("_first"), "left")
-    return set_where(joined, F.col("_flip"), pdx=R.PRIMARY).select(*df.columns)
+    # only rows in scope can be chosen; the others stay where they are
+    inside = F.coalesce(scope, F.lit(False))
+    joined = df.where(inside).join(chosen, F.col("diagnosisid") == F.col("_first"), "left")
+    return set_where(joined, F.col("_flip"), pdx=R.PRIMARY).select(*df.columns).unionByName(df.where(~inside))
 
 
 def encounter_columns(study: Study) -> DataFrame:
@@ -214,7 +217,8 @@ def diagnosis(study: Study) -> DataFrame:
         field3.alias("_field3"))
     df = delete_where(df, F.length("dx") < 2)
     df = recover_epidemic_codes(df, concept, F.col("_field3"), F.col("dx_type").isin("SM", "OT"), "dx", "dx_type")
-    return promote_primary(conform(df, "diagnosis", study.site))
+    # the rows are read by the choice and by the update: they are built once
+    return promote_primary(staged(conform(df, "diagnosis", study.site), "diagnosis_rows"))
 
 
 def _coded_conditions(study: Study) -> DataFrame:
@@ -259,8 +263,7 @@ def _observed_conditions(observation: DataFrame, **columns: Column) -> DataFrame
 def complaint_lookup(df: DataFrame, cmap: DataFrame, text: Column) -> DataFrame:
     """Inner lookup of a complaint text, letter case ignored; one map row per text."""
     outs = ["_cc_code", "_cc_type", "_cc_voc"]
-    rows = cmap.coalesce(1) if is_small(cmap) else cmap
-    dim = rows.groupBy(F.lower("complaint_text").alias("_kc")).agg(F.min(F.struct(
+    dim = cmap.groupBy(F.lower("complaint_text").alias("_kc")).agg(F.min(F.struct(
         F.col("concept_code").alias(outs[0]), F.col("code_type").alias(outs[1]),
         F.col("vocabulary_id").alias(outs[2]))).alias("r")).select("_kc", *[f"r.{o}" for o in outs])
     return attach(df, dim, [(F.lower(text), "_kc")], "inner", small=is_small(cmap))
@@ -281,11 +284,13 @@ def condition(study: Study) -> DataFrame:
     complaints = _observed_conditions(
         complaints, condition=F.col("_cc_code"), condition_type=F.col("_cc_type"), condition_source=F.lit("CC"),
         raw_condition=F.col("observation_source_value"), raw_condition_type=F.col("_cc_voc"))
-    # ids carry the letter of their source and every source key is unique: no row can repeat
+    # no row can repeat, but an id can: derived observations and complaints are two tables, numbered apart, whose ids
+    # both start with "o" in the model. The key check reports such ids.
     df = union_all(_coded_conditions(study), derived, complaints)
     early = study["visit_occurrence"].where(F.col("visit_start_date") < F.lit(study.floor)).select(
         F.col("visit_occurrence_id").alias("_early"))
-    kept = df.join(early, F.col("_visit") == F.col("_early"), "left_anti")
+    # most of a problem list names no visit
+    kept = join_spread(df, early, F.col("_visit"), "_early", "left_anti")
     return conform(kept.withColumn("encounterid", text_id("_visit")), "condition", study.site)
 
 

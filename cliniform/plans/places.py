@@ -23,7 +23,7 @@ def state_code(df: DataFrame, vmap: DataFrame, state: Column, out: str) -> DataF
         F.struct(F.lit(True).alias("short"), F.lower(F.trim(F.split_part(label, F.lit("="), F.lit(1)))).alias("text")),
         F.struct(F.lit(False).alias("short"), F.lower(F.trim(F.split_part(label, F.lit("="), F.lit(2)))).alias("text"))))
     part = vmap.where(F.col(CLASS) == "address_state")
-    spelled = (part.coalesce(1) if is_small(vmap) else part).select(side.alias("s"), F.col(TARGET).alias(out))
+    spelled = part.select(side.alias("s"), F.col(TARGET).alias(out))
     dim = spelled.groupBy(F.col("s.short").alias("_short"), F.col("s.text").alias("_state")).agg(
         F.min(out).alias(out))
     return attach(df, dim, [(F.length(state) == 2, "_short"), (F.lower(state), "_state")], small=is_small(vmap))

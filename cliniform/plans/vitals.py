@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import hhmm, row_key, since, text_id, to_inches, to_pounds
+from ..functions import hhmm, null_of, row_key, since, text_id, to_inches, to_pounds
 from ..operators.lookup import VALUE, lookup
 from ..operators.membership import keep_persons, keep_visits
+from ..operators.sizing import join_spread
 from ..rules import visits as R
 from ..sources.model import conform
 from ..sources.stage import staged
@@ -25,8 +26,8 @@ def pair_link(left: DataFrame, links: DataFrame, right: DataFrame, left_id: str,
     if domain is not None:
         links = links.where((F.col("domain_concept_id_1") == domain) & (F.col("domain_concept_id_2") == domain))
     edges = links.select(F.col("fact_id_1").alias("_f1"), F.col("fact_id_2").alias("_f2"))
-    return (left.join(edges, F.col(left_id) == F.col("_f1"), how)
-            .join(right, F.col("_f2") == F.col(right_id), how).drop("_f1", "_f2"))
+    # most left facts may have no link at all
+    return join_spread(left.join(edges, F.col(left_id) == F.col("_f1"), how), right, F.col("_f2"), right_id, how).drop("_f1", "_f2")
 
 
 def widen(signs: DataFrame, links: DataFrame) -> DataFrame:
@@ -79,8 +80,10 @@ def tobacco_answers(study: Study) -> DataFrame:
     smoking = asked(R.SMOKING, "smoking", "smoking", True).select(F.col("observation_id").alias("_smoke_id"), "smoking")
     edges = study["fact_relationship"].select(F.col("fact_id_1").alias("_f1"), F.col("fact_id_2").alias("_f2"))
     df = tobacco.join(edges, F.col("observation_id") == F.col("_f1"), "left")
-    df = df.join(kind, F.col("_f2") == F.col("_type_id"), "left")
-    df = df.join(smoking, F.col("_f2") == F.col("_smoke_id"), "left")
+    # type and smoking answers are different observations: one relation serves both, and one join of the links
+    answers = kind.select(F.col("_type_id").alias("_answer"), "tobacco_type", null_of("string").alias("smoking")).unionByName(
+        smoking.select(F.col("_smoke_id").alias("_answer"), null_of("string").alias("tobacco_type"), "smoking"))
+    df = join_spread(df, answers, F.col("_f2"), "_answer", "left")
     return df.select("_ov", "_ot", "tobacco", "tobacco_type", "smoking").distinct()
 
 
@@ -113,4 +116,6 @@ def vital(study: Study) -> DataFrame:
         F.col("sys").alias("systolic"), F.left("tobacco", F.lit(2)).alias("tobacco"),
         F.left("tobacco_type", F.lit(2)).alias("tobacco_type"), F.lit("HC").alias("vital_source"),
         to_pounds("wt").alias("wt")).distinct()
-    return conform(done.withColumn("vitalid", row_key(*done.columns)), "vital", study.site)
+    # numbers enter the digest with six decimals, so that the key does not hang on an engine's notation
+    parts = [F.when(F.col(c).isNotNull(), F.format_string("%.6f", F.col(c))) if kind == "double" else F.col(c) for c, kind in done.dtypes]
+    return conform(done.withColumn("vitalid", row_key(*parts)), "vital", study.site)

@@ -7,6 +7,9 @@ width (``:18``) or a number (``:n15.8``). Without one it follows from the name:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -258,10 +261,34 @@ def _fit(df: DataFrame, field: Field) -> Column:
     return value.alias(field.name)
 
 
+_raw: ContextVar[bool] = ContextVar("raw", default=False)
+
+
+@contextmanager
+def unconformed() -> Iterator[None]:
+    """Plans built inside keep the values as they come: columns are named and ordered, not yet cast, so that what
+    does not fit can be counted (:func:`misfits`) before :func:`conform` turns it into NULL."""
+    token = _raw.set(True)
+    try:
+        yield
+    finally:
+        _raw.reset(token)
+
+
+def misfits(df: DataFrame, table: str) -> dict[str, Column]:
+    """Per column of another type than declared: whether a value is lost by the cast."""
+    return {f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.type).isNull() for f in TABLES[table].fields
+            if f.name in df.columns and df.schema[f.name].dataType != f.type and not isinstance(f.type, T.StringType)}
+
+
 def conform(df: DataFrame, table: str, site: str) -> DataFrame:
-    """Columns of a target table in order; missing ones are NULL, ``site`` comes last."""
+    """Columns of a target table in order; missing ones are NULL, ``site`` comes last. A value that does
+    not fit its column becomes NULL; count such values with :func:`misfits` on the rows before."""
     t = TABLES[table]
-    cols = [_fit(df, f) for f in t.fields]
+    if _raw.get():
+        cols = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.type).alias(f.name) for f in t.fields]
+    else:
+        cols = [_fit(df, f) for f in t.fields]
     if t.has_site:
         cols.append(F.lit(site).alias("site"))
     return df.select(*cols)

@@ -7,23 +7,42 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .model import TABLES, conform
+from .model import TABLES, conform, misfits
 
 
 def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> str:
-    """CSV directory with header lines; ``partitions`` merges output files without a shuffle."""
-    out = df.coalesce(partitions) if partitions else df
+    """CSV directory with header lines; ``partitions`` sets the number of files by a shuffle, so that the
+    work before it keeps its own width."""
+    out = df.repartition(partitions) if partitions else df
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
 def write_table(df: DataFrame, root: str, table: str, site: str, names: dict[str, str] | None = None) -> str:
     """One target table as Parquet under ``root/table``; ``names`` may rename table or columns."""
+    return write_audited(df, root, table, site, names)[0]
+
+
+def write_audited(df: DataFrame, root: str, table: str, site: str, names: dict[str, str] | None = None,
+                  strict: bool = False) -> tuple[str, dict[str, int]]:
+    """Write a target table and count, in the same pass, its rows (``rows``) and the values per column
+    that do not fit their declared type; ``strict`` raises if there are any.
+
+    ``df`` holds the values before the cast (a plan built :func:`~.model.unconformed`). After a repeated
+    task a count may be too high, never too low.
+    """
     names = names or {}
     path = f"{root}/site={site}/{names.get(table, table)}"
-    shaped = conform(df, table, site).withColumnsRenamed({k: v for k, v in names.items() if k in TABLES[table].columns})
+    seen = Observation(f"{table}")
+    lost = {f"lost_{c}": F.count_if(test).alias(f"lost_{c}") for c, test in misfits(df, table).items()}
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *lost.values())
+    shaped = conform(watched, table, site).withColumnsRenamed({k: v for k, v in names.items() if k in TABLES[table].columns})
     shaped.write.mode("overwrite").parquet(path)
-    return path
+    counts = {k.removeprefix("lost_"): int(v) for k, v in seen.get.items()}
+    bad = {k: v for k, v in counts.items() if k != "rows" and v}
+    if strict and bad:
+        raise ValueError(f"{table}: values do not fit their columns: {bad}")
+    return path, counts
 
 
 def insert(df: DataFrame, table: str, site: str, columns: list[str]) -> DataFrame:

@@ -175,3 +175,43 @@ def test_reports(spark):
         ("not_null", "r", 1), ("not_null", "t", 1), ("width", "t", 1)]
     parent = spark.createDataFrame([("x",)], "id string")
     assert rows(check_reference(df, "r", parent, "id", "t"), "violations") == [(1,)]
+
+
+def test_rows_without_a_key_are_spread(spark):
+    from cliniform.operators.sizing import join_spread
+    for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(key, value)
+    try:
+        left = spark.range(4000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+        right = spark.range(0, 4000, 4).select(F.col("id").alias("r"))
+        joined = join_spread(left, right, F.col("k"), "r", "left")
+        assert joined.count() == 4000 and joined.where("r is not null").count() == 1000
+        spread = joined.where("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(spread) == 4 and max(r["count"] for r in spread) < 1000
+        anti = join_spread(left, right, F.col("k"), "r", "left_anti")
+        assert anti.count() == 3000 and anti.where("k is null").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_long_map_texts_are_not_broadcast(spark):
+    from cliniform.operators.lookup import CLASS, LABEL, TARGET, laid_out_bytes, lookup_contained
+    vmap = spark.createDataFrame([("c", "t", f"{i:03d}" + "x" * 900) for i in range(10)], f"{CLASS} string, {TARGET} string, {LABEL} string")
+    assert laid_out_bytes(vmap, F.col(LABEL)) > 10 * 900 ** 3 / 6
+    facts = spark.createDataFrame([(1, "003xx"), (2, "y"), (3, "")], "fact_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lookup_contained(facts, vmap.limit(10), "c", F.col("text"), "out", LABEL)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        short = spark.createDataFrame([("c", "t", "003xx1")], f"{CLASS} string, {TARGET} string, {LABEL} string")
+        found = lookup_contained(facts, short, "c", F.col("text"), "out", LABEL)
+        assert {(r.fact_id, r.out) for r in found.collect()} == {(1, "t"), (2, None), (3, None)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbers_in_plain_digits(spark):
+    from cliniform.plans.labs import number_text
+    rows = spark.createDataFrame([(x,) for x in (12345678.0, 0.0005, 25000000.5, 0.0, -7.0, 0.1, 100.0, None)], "x double")
+    assert [r[0] for r in rows.select(number_text("x")).collect()] == ["12345678", "0.0005", "25000000.5", "0", "-7", "0.1", "100", None]

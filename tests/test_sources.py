@@ -1,5 +1,7 @@
 """Model, readers, writers, and a whole build."""
 
+from datetime import datetime
+from decimal import Decimal
 from unittest.mock import MagicMock
 
 import pytest
@@ -7,9 +9,10 @@ from pyspark.sql import functions as F
 
 from cliniform.demo import adapter
 from cliniform.plans.administration import BUILD_ORDER, NEVER_FILLED, build_all, orphan_report
-from cliniform.sources.model import REFERENCES, TABLES, conform, empty
+from cliniform.sources.model import PERSON_CHECKED, REFERENCES, TABLES, conform, empty
 from cliniform.sources.readers import COMPLAINT_MAP, read_map, read_range
 from cliniform.sources.stage import CHECKPOINT_DIR, stage_root, staged
+from cliniform.sources.writers import write_audited
 
 
 def test_model_counts():
@@ -62,13 +65,45 @@ def test_stage_uses_the_named_folder(spark, tmp_path, monkeypatch):
     assert df.where("kind = 'a'").count() == 5 and list(tmp_path.glob("cliniform/*/x/kind=a"))
 
 
+def test_stage_folder_is_required_on_a_cluster():
+    settings = {"spark.master": "spark://host:7077"}
+    named = MagicMock()
+    named.conf.get.side_effect = lambda key, default=None: settings.get(key, default)
+    with pytest.raises(ValueError, match="checkpoint"):
+        stage_root(named)
+
+
 def test_whole_build(spark, tmp_path):
     study = adapter.study(spark, "/root/testdata/sf0.001")
     names = {"datamart_name": "x", "datamartid": "y", "network_name": "n", "networkid": "N"}
-    done = build_all(study, str(tmp_path), names)
-    assert set(done) == set(TABLES) - {"version_history"}
+    renames = {"trial": {"trial": "study_trial", "trialid": "study_trial_id"}}
+    done = build_all(study, str(tmp_path), names, renames, datetime(2024, 6, 1))
+    assert set(done) == set(TABLES)
     filled = {t: df.count() for t, df in done.items()}
     assert all(filled[t] > 0 for t in BUILD_ORDER), filled
     assert done["harvest"].first()["datamartid"] == "N01"
     left = orphan_report({t: done[t] for t in ("obs_gen", "vital", "diagnosis")}, study)
     assert left.agg(F.sum("violations")).first()[0] == 0
+    home = f"{tmp_path}/site={study.site}"
+    assert "study_trial_id" in spark.read.parquet(f"{home}/study_trial").columns and "trialid" in done["trial"].columns
+    lost = {(r.table_name, r.column_name): r.violations for r in spark.read.parquet(f"{home}/report_misfits").collect()}
+    assert lost["lab_result_cm", "result_num"] > 0 and lost["vital", "systolic"] > 0
+    removed = spark.read.parquet(f"{home}/report_orphans")
+    assert removed.where("table_name = 'obs_gen'").agg(F.sum("violations")).first()[0] > 0
+    assert {r.table_name for r in removed.select("table_name").distinct().collect()} == set(PERSON_CHECKED) - set(NEVER_FILLED)
+    checks = spark.read.parquet(f"{home}/report_integrity")
+    assert checks.where("check_name = 'reference'").count() == len(REFERENCES) and checks.where("check_name = 'key'").count() == len(TABLES)
+    log = done["version_history"].collect()
+    assert len({r["datetime"] for r in log}) == len(log) == len(TABLES) - 1
+    assert f"load demographic: {filled['demographic']} rows" in {r["operation"] for r in log}
+
+
+def test_misfits_are_counted_or_stop_the_run(spark, tmp_path):
+    rows = spark.createDataFrame([("1", 25000000.0), ("2", 1.5), ("3", None)], "lab_result_cm_id string, result_num double")
+    path, counts = write_audited(rows, str(tmp_path), "lab_result_cm", "x")
+    assert counts["rows"] == 3 and counts["result_num"] == 1
+    assert {r["result_num"] for r in spark.read.parquet(path).collect()} == {None, Decimal("1.50000000")}
+    with pytest.raises(ValueError, match="result_num"):
+        write_audited(rows, str(tmp_path), "lab_result_cm", "x", strict=True)
+    empty_counts = write_audited(rows.limit(0), str(tmp_path), "lab_result_cm", "x")[1]
+    assert empty_counts.get("result_num", 0) == 0
