@@ -472,10 +472,9 @@ def repair_views(source: str, prefix: str) -> str:
         for col, values in zip(("m0", "l0", "h0"), accepted):
             known = quoted(sorted(v for v in values if v is not None))
             tests.append(f"({col} in {known}" + (f" or {col} is null)" if None in values else ")"))
-        if bounds:
-            tests.append("high_text is not null and low_text is " + ("null" if "low absent" in bounds else "not null"))
+        tests += [f"{c} is {'not ' if there else ''}null" for c, there in zip(("low_text", "high_text"), bounds) if there is not None]
         when = " and ".join(tests)
-        sets = ", ".join(f"case when {when} then '{n}' else {c} end as {c}" for c, n in zip(("m0", "l0", "h0"), new) if n != ".")
+        sets = ", ".join(f"case when {when} then '{n}' else {c} end as {c}" for c, n in zip(("m0", "l0", "h0"), new) if n is not None)
         VIEWS[f"{prefix}_{chr(97 + i)}"] = f"select * replace ({sets}) from {rel}"
         rel = f"{prefix}_{chr(97 + i)}"
     return rel

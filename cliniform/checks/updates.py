@@ -91,10 +91,10 @@ def _cascade(s) -> DataFrame:
         for c, values in zip(cols, accepted):
             known = F.col(c).isin([v for v in values if v is not None])
             test = test & (known | F.col(c).isNull() if None in values else known)
-        if bounds:
-            low = F.col("norm_range_low")
-            test = test & F.col("norm_range_high").isNotNull() & (low.isNull() if "low absent" in bounds else low.isNotNull())
-        rules.append((test, {c: n for c, n in zip(cols, new) if n != "."}))
+        for c, there in zip(("norm_range_low", "norm_range_high"), bounds):
+            if there is not None:
+                test = test & (F.col(c).isNotNull() if there else F.col(c).isNull())
+        rules.append((test, {c: n for c, n in zip(cols, new) if n is not None}))
     return apply_rules(_states(s), rules).select(*_MODS)
 
 

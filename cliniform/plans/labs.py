@@ -95,18 +95,9 @@ def rewrite_white_cells(df: DataFrame) -> DataFrame:
     return set_where(df, test, lab_loinc=L.WHITE_CELL_BLOOD_CODE)
 
 
-def repair_steps() -> list[tuple[list[set], list[str], str]]:
-    """Parsed repair steps: accepted values (None stands for NULL), new values, range test."""
-    steps = []
-    for line in L.MODIFIER_REPAIRS:
-        before, _, after = line.partition("->")
-        words, _, bounds = after.partition("range:")
-        accepted: list[set] = []
-        for word in before.split():
-            values = set(word.lstrip("~").split("|"))
-            accepted.append(values | {"", None} if word.startswith("~") else values)
-        steps.append((accepted, words.split(), bounds.strip()))
-    return steps
+def repair_steps() -> list[tuple[list[set], list[str | None], tuple[bool | None, bool | None]]]:
+    """Repair steps: accepted values (None stands for NULL), new values (None keeps), bounds that must be there or not."""
+    return [([set(v) for v in step[:3]], list(step[3:6]), step[6:]) for step in L.MODIFIER_REPAIRS]
 
 
 def repair_table() -> list[tuple]:
@@ -120,12 +111,9 @@ def repair_table() -> list[tuple]:
     table = []
     for *state, has_low, has_high in product(values, values, values, (True, False), (True, False)):
         now = list(state)
-        for accepted, new, bounds in steps:
-            low_ok = "low present" not in bounds or has_low
-            low_ok = low_ok and ("low absent" not in bounds or not has_low)
-            high_ok = "high present" not in bounds or has_high
-            if low_ok and high_ok and all(v in s for v, s in zip(now, accepted)):
-                now = [o if n == "." else n for o, n in zip(now, new)]
+        for accepted, new, (low, high) in steps:
+            if low in (None, has_low) and high in (None, has_high) and all(v in s for v, s in zip(now, accepted)):
+                now = [o if n is None else n for o, n in zip(now, new)]
         if now != state:
             table.append((*state, has_low, has_high, *now))
     return table

@@ -58,36 +58,35 @@ RANGE_PAIRS: list[tuple[list[int], list[int], str]] = [
     ([4172703, 4172704, 4171754, 4171756], [4172704], "NO|LT"),
 ]
 
-# Repair steps for (result, low, high) modifiers, in order. A step reads
-# "result low high -> result low high"; '|' separates accepted values, '*' accepts all,
-# '.' keeps the value, '~' accepts '' and NULL too. "range:" adds a test on the two bounds.
-MODIFIER_REPAIRS = """
-EQ    LT|LE OT    -> . EQ EQ
-GE    LT|LE OT    -> . GE NO
-EQ    OT    GE|GT -> . EQ EQ
-GE    OT    GE    -> . GE NO
-OT    OT    GT    -> GT GT NO
-LT    OT    GE    -> . NO LT
-GT    LT|LE OT    -> . GT NO
-GT    OT    GT|GE -> . GT NO
-LT    OT    GT|GE -> . NO LT
-LE    LT    OT    -> . NO LE
-LT    LT|LE OT    -> . NO LT
-OT    LT|LE OT    -> . OT .
-LE    LT|LE OT    -> . NO LE
-GT    OT    GE    -> . GT NO
-OT    OT    GE    -> GT GT NO
-EQ    OT    GT    -> . EQ EQ
-GT    OT    GT    -> . GE NO
-LT    OT    GT    -> . NO LT
-OT    OT    GT    -> . . OT
-OT    OT    EQ    -> EQ . .
-~OT   OT    LE    -> LE . .
-OT    OT    LT    -> LT . .
-~OT   EQ    OT    -> EQ . .
-EQ    EQ    EQ    -> . NO LT  range: low absent, high present
-LT    NO    LT    -> EQ EQ EQ range: low present, high present
-""".strip().splitlines()
+# Repair steps for (result, low, high) modifiers, in order: the accepted values of the three, their new
+# values (None keeps), and whether the low and the high bound must be there (None: either way).
+MODIFIER_REPAIRS: list[tuple] = [
+    (("EQ",), ("LT", "LE"), ("OT",), None, "EQ", "EQ", None, None),
+    (("GE",), ("LT", "LE"), ("OT",), None, "GE", "NO", None, None),
+    (("EQ",), ("OT",), ("GE", "GT"), None, "EQ", "EQ", None, None),
+    (("GE",), ("OT",), ("GE",), None, "GE", "NO", None, None),
+    (("OT",), ("OT",), ("GT",), "GT", "GT", "NO", None, None),
+    (("LT",), ("OT",), ("GE",), None, "NO", "LT", None, None),
+    (("GT",), ("LT", "LE"), ("OT",), None, "GT", "NO", None, None),
+    (("GT",), ("OT",), ("GT", "GE"), None, "GT", "NO", None, None),
+    (("LT",), ("OT",), ("GT", "GE"), None, "NO", "LT", None, None),
+    (("LE",), ("LT",), ("OT",), None, "NO", "LE", None, None),
+    (("LT",), ("LT", "LE"), ("OT",), None, "NO", "LT", None, None),
+    (("OT",), ("LT", "LE"), ("OT",), None, "OT", None, None, None),
+    (("LE",), ("LT", "LE"), ("OT",), None, "NO", "LE", None, None),
+    (("GT",), ("OT",), ("GE",), None, "GT", "NO", None, None),
+    (("OT",), ("OT",), ("GE",), "GT", "GT", "NO", None, None),
+    (("EQ",), ("OT",), ("GT",), None, "EQ", "EQ", None, None),
+    (("GT",), ("OT",), ("GT",), None, "GE", "NO", None, None),
+    (("LT",), ("OT",), ("GT",), None, "NO", "LT", None, None),
+    (("OT",), ("OT",), ("GT",), None, None, "OT", None, None),
+    (("OT",), ("OT",), ("EQ",), "EQ", None, None, None, None),
+    (("OT", "", None), ("OT",), ("LE",), "LE", None, None, None, None),
+    (("OT",), ("OT",), ("LT",), "LT", None, None, None, None),
+    (("OT", "", None), ("EQ",), ("OT",), "EQ", None, None, None, None),
+    (("EQ",), ("EQ",), ("EQ",), None, "NO", "LT", False, True),
+    (("LT",), ("NO",), ("LT",), "EQ", "EQ", "EQ", True, True),
+]
 
 # Concept ids of the laboratory record type.
 LAB_RECORD_TYPE = 44818702

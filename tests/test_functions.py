@@ -74,3 +74,18 @@ def test_interval_is_half_open(spark):
     df = spark.createDataFrame([(d(2020, 1, 1), d(2020, 1, 2), d(2020, 1, 1)), (d(2020, 1, 1), d(2020, 1, 1), d(2020, 1, 1)),
                                 (d(2020, 1, 1), None, d(2020, 1, 1))], "s date, e date, a date")
     assert [r[0] for r in df.select(fn.covers("s", "e", "a")).collect()] == ["Y", "N", "N"]
+
+
+def test_rule_lists_hold_pinned_rows():
+    """Literal rows, apart from the lists, so that a slip in a list does not pass on both sides."""
+    from cliniform.rules import labs as L
+    from cliniform.rules.results import GENERAL_RESULT_TEXT, RESULT_TEXT
+    assert (RESULT_TEXT[0], RESULT_TEXT[-1], len(RESULT_TEXT)) == (("1+", "1+"), ("yellow", "YELLOW"), 104)
+    assert {("ab negative", "AB NEG"), ("Clear", "CLEAR"), ("cerebrospinal fluid", "CEREBROSPINAL FLUID (CSF)"), ("undetected", "UNDETECTABLE")} <= set(RESULT_TEXT)
+    assert ("Clear", "CLEAR") not in GENERAL_RESULT_TEXT and ("clear", "CLEAR") in GENERAL_RESULT_TEXT and len(GENERAL_RESULT_TEXT) == 102
+    assert len(L.MODIFIER_REPAIRS) == 25
+    assert L.MODIFIER_REPAIRS[0] == (("EQ",), ("LT", "LE"), ("OT",), None, "EQ", "EQ", None, None)
+    assert L.MODIFIER_REPAIRS[20] == (("OT", "", None), ("OT",), ("LE",), "LE", None, None, None, None)
+    assert L.MODIFIER_REPAIRS[23] == (("EQ",), ("EQ",), ("EQ",), None, "NO", "LT", False, True)
+    assert L.MODIFIER_REPAIRS[24] == (("LT",), ("NO",), ("LT",), "EQ", "EQ", "EQ", True, True)
+    assert L.RANGE_PAIRS[3] == ([4172703, 4172704, 4171754, 4171756], [4172704], "NO|LT")

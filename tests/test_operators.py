@@ -131,10 +131,9 @@ def test_modifier_repair_on_every_state(spark):
         low, high = r["id"][3], r["id"][4]
         for accepted, new, bounds in labs.repair_steps():
             ok = all(v in s for v, s in zip(now, accepted))
-            if bounds:
-                ok = ok and high is not None and (low is None) == ("low absent" in bounds)
+            ok = ok and all(there is None or there == (v is not None) for there, v in zip(bounds, (low, high)))
             if ok:
-                now = [o if n == "." else n for o, n in zip(now, new)]
+                now = [o if n is None else n for o, n in zip(now, new)]
         assert [r["result_modifier"], r["norm_modifier_low"], r["norm_modifier_high"]] == now, r["id"]
     assert len(got) == len(states)
 
