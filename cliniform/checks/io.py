@@ -14,7 +14,7 @@ from ..operators.dedupe import union_all
 from ..operators.lookup import CLASS
 from ..plans import administration
 from ..sources.model import TABLES, conform, empty
-from ..sources.readers import COMPLAINT_MAP, VALUE_MAP, or_empty, read_map, spread_by_range
+from ..sources.readers import COMPLAINT_MAP, VALUE_MAP, or_empty, read_map, read_ranges
 from ..sources.stage import stage_root
 from ..sources.study import Study
 from ..sources.writers import insert, run_log, seed_if_empty, stage_counts, write_csv, write_table
@@ -28,7 +28,7 @@ def folder(s: Study, name: str) -> str:
 
 
 case("src_range_scan", "select o_orderkey, o_custkey, o_totalprice from orders")(
-    lambda s: spread_by_range(s["orders"], "o_orderkey", 16).select("o_orderkey", "o_custkey", "o_totalprice"))
+    lambda s: read_ranges(s["orders"], "o_orderkey", 16).select("o_orderkey", "o_custkey", "o_totalprice"))
 case("src_plain_scan", "select * from nation")(lambda s: s["nation"])
 
 

@@ -107,3 +107,11 @@ def test_misfits_are_counted_or_stop_the_run(spark, tmp_path):
         write_audited(rows, str(tmp_path), "lab_result_cm", "x", strict=True)
     empty_counts = write_audited(rows.limit(0), str(tmp_path), "lab_result_cm", "x")[1]
     assert empty_counts.get("result_num", 0) == 0
+
+
+def test_ranges_cover_every_row_once(spark):
+    from cliniform.sources.readers import read_ranges
+    for keys in ([], [None], [5], [1, 2, 3, 1, None, 100, -7], list(range(50))):
+        df = spark.createDataFrame([(k,) for k in keys], "k long")
+        for n in (1, 3, 16):
+            assert sorted(str(r.k) for r in read_ranges(df, "k", n).collect()) == sorted(map(str, keys))
