@@ -205,6 +205,8 @@ def test_markup():
     text = wrapper.main_text
     assert text("<body><nav>menu</nav><article><h1>A &amp; B</h1><p>one <b>t</b>wo<p>three<br>four<aside>x</aside><div class='share'>y</div></article><footer>f</footer>", None) == "A & B one two three four"
     assert text("<div id=sidebar>s</div><div class=post-content><p>body text of it</p></div><div class=comments><p>reader</p></div>", None) == "body text of it"
+    assert text("<div class='hentry post comments-open no-sidebar'><div class='entry-header'><h1>T</h1></div><p>text of post</p><div class=shareButtons>s</div>"
+                "<article class='comment'>c</article></div><div id='cookieNotice'>k</div><div class='adBox top'>z</div>", None) == "T text of post"
     assert text("plain &lt;text&gt;", None) == "plain <text>" and text("", None) == text(None, None) == ""
     assert text("<div>" * 5000 + "deep" + "</div>" * 5000 + "<p>after", None) == "deep after"
     assert text("<script>var a='</p>'</script><p>x<!-- no --> y", None) == "x y"
