@@ -34,9 +34,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 
-def sha1_base32(payload: Column) -> Column:
-    """SHA-1 in base32: 40 hex digits are 8 groups of 20 bits, each 4 characters."""
-    digest = F.sha1(payload)
+def base32_of_hex(digest: Column) -> Column:
+    """A SHA-1 given in hex (a column, since it is used for every character) in base32: 40 hex digits are 8
+    groups of 20 bits, each 4 characters."""
     out = []
     for group in range(8):
         bits = F.conv(F.substring(digest, 5 * group + 1, 5), 16, 10).cast("int")
@@ -48,7 +48,7 @@ def resolved(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """One row per page with its payload, digest, ``refers_to`` and ``refers_uri`` (null: a response)."""
     payload = F.encode(F.coalesce(F.col(f"`{html}`"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", sha1_base32(F.col("payload")))
+    rows = rows.withColumn("hex", F.sha1("payload")).withColumn("digest", base32_of_hex(F.col("hex"))).drop("hex")
     heads = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
         F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"), F.count("*").alias("records"))
     # digests of a single record need no join partner
