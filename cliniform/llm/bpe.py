@@ -51,7 +51,7 @@ class Vocabulary:
         for i, t in enumerate(self.tokens):
             self.automaton.add_word(t.decode("latin-1"), i)
         self.automaton.make_automaton()
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
 
     def _derive(self) -> list[tuple[int, int]]:
         """The pair each token is made from: merge its bytes with lower ranks until two parts remain."""
@@ -76,10 +76,10 @@ class Vocabulary:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``left`` followed by ``right`` stays two tokens."""
-        key = (left, right)
+        key = left << 20 | right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= MEMO:
+            if len(self._fits) >= MEMO // 2:
                 self._fits.clear()
             known = self._fits[key] = self._seam_holds(left, right)
         return known
@@ -124,7 +124,7 @@ class Vocabulary:
                 if at + length[token] not in dead:
                     if left < 0:
                         break
-                    known = fits.get((left, token))
+                    known = fits.get(left << 20 | token)
                     if self.compatible(left, token) if known is None else known:
                         break
                 token = shorter[token]
@@ -313,10 +313,16 @@ def read_ranks(path: str) -> list[bytes]:
     return [t for _, t in ranked]
 
 
+@lru_cache(maxsize=4)
+def rank_tokens(path: str) -> list[bytes]:
+    """Tokens of a rank file, read once per worker; all that decoding needs."""
+    return read_ranks(path)
+
+
 @lru_cache(maxsize=4)
 def ranks_encoder(path: str, pattern: str) -> Encoder:
     """Encoder of a rank file, made once per worker."""
-    return Encoder(Vocabulary(read_ranks(path)), pattern)
+    return Encoder(Vocabulary(rank_tokens(path)), pattern)
 
 
 @lru_cache(maxsize=4)

@@ -36,7 +36,7 @@ def appended(df: DataFrame, column: str, compute: Callable[[pa.Array], pa.Array
     """Append what ``compute`` makes of one column, batch by batch, on the partitions as they are.
 
     Columns of the input keep their values; one whose name equals an added one (in any case) is
-    replaced. A batch is cut so that its values stay within some tens of MB, whatever the row sizes.
+    replaced. A batch is cut so that its values stay within a few MB, whatever the row sizes.
     """
     new = {f.name.lower() for f in added}
     kept = [c for c in df.columns if c.lower() not in new]
@@ -56,7 +56,7 @@ def appended(df: DataFrame, column: str, compute: Callable[[pa.Array], pa.Array
     return df.select(*source, F.col(f"`{column}`").alias(held)).mapInArrow(run, schema)
 
 
-def sliced(part: pa.RecordBatch, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(part: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about ``most`` bytes, one row at least."""
     if part.num_rows == 0:
         return

@@ -60,7 +60,7 @@ def _bucket(word: str) -> int:
     return zlib.crc32(word.lower().encode()) % BUCKETS
 
 
-_MEMO = Memo(_bucket)
+_MEMO = Memo(_bucket, 30_000)
 
 
 def coded(text: str) -> np.ndarray:

@@ -46,6 +46,8 @@ STATES = 3
 EPOCHS = 40
 #: Weight of a transition that cannot be: from outside to inside.
 ILLEGAL = -50.0
+#: Tokens a worker keeps the class of.
+MEMO = 30_000
 #: Least mean lead over outside, in log odds, of the tokens of an added span.
 LEAD = 4.0
 
@@ -135,7 +137,7 @@ class Field:
     def reset(self) -> None:
         """Forget the tokens met so far: their classes, and the scores a class gives to itself and its neighbours."""
         self._class: dict[str, int] = {}
-        self._of = Memo(self._known, 100_000)
+        self._of = Memo(self._known, MEMO)
         self._scores = np.zeros((1024, 3, STATES), np.float32)
 
     def __getstate__(self) -> dict:
@@ -157,7 +159,7 @@ class Field:
         return number
 
     def emissions(self, tokens: list[str], text: str) -> np.ndarray:
-        if len(self._class) > 100_000:
+        if len(self._class) > MEMO:
             self.reset()
         of = np.fromiter(map(self._of.__getitem__, tokens), np.int64, len(tokens))
         own, before, behind = self._scores[:, 0], self._scores[:, 1], self._scores[:, 2]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import json_encoder, ranks_encoder
+from .bpe import json_encoder, rank_tokens, ranks_encoder
 from .common import appended, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -28,19 +28,26 @@ def encode(df: DataFrame, text: str = "text", out: str = "token_ids", path: str
 
     def ids(texts: pa.Array) -> pa.Array:
         encoder = ranks_encoder(path, pattern)
-        return _lists([encoder.encode(t) if t else [] for t in texts.to_pylist()])
+        flat: list[int] = []
+        offsets = np.zeros(len(texts) + 1, np.int32)
+        for n, t in enumerate(texts, 1):
+            if t.is_valid:
+                flat += encoder.encode(t.as_py())
+            offsets[n] = len(flat)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.fromiter(flat, np.int32, len(flat))))
 
     return appended(df, text, ids, T.StructType([T.StructField(out, T.ArrayType(T.IntegerType()))]))
 
 
-def decode(df: DataFrame, ids: str = "token_ids", out: str = "decoded", path: str | None = None,
-           pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def decode(df: DataFrame, ids: str = "token_ids", out: str = "decoded", path: str | None = None) -> DataFrame:
     """Append the bytes of every list of ids; a null list gives no bytes."""
     path = path or public_tokenizers.path(RANKS)
 
     def raw(lists: pa.Array) -> pa.Array:
-        encoder = ranks_encoder(path, pattern)
-        return pa.array([encoder.decode(x) if x else b"" for x in lists.to_pylist()], pa.binary())
+        tokens = rank_tokens(path)
+        # one row's ids at a time become Python numbers
+        rows = (x.values.to_numpy().tolist() if x.is_valid else [] for x in lists)
+        return pa.array([b"".join([tokens[i] for i in ids]) for ids in rows], pa.binary())
 
     return appended(df, ids, raw, T.StructType([T.StructField(out, T.BinaryType())]))
 
@@ -64,13 +71,6 @@ def count_tokens(df: DataFrame, text: str = "text", limit: int = LIMIT, path: st
                                                      T.StructField("fit_chars", T.LongType())]))
 
 
-def _lists(rows: list[list[int]]) -> pa.Array:
-    offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([len(r) for r in rows], out=offsets[1:])
-    flat = np.fromiter((i for r in rows for i in r), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-
 def ids_digest(ids: Column) -> Column:
     """SHA-256 of the decimal ids joined by one space."""
     return F.sha2(F.concat_ws(" ", ids.cast("array<string>")).cast("binary"), 256)
