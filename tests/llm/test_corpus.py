@@ -212,6 +212,24 @@ def test_markup():
     assert text("<script>var a='</p>'</script><p>x<!-- no --> y", None) == "x y"
 
 
+def test_layout_names_do_not_cut_the_article(spark):
+    text = wrapper.main_text
+    for name in ("right-sidebar", "content-with-sidebar", "layout-has-sidebar", "legal-news", "social-page", "sticky-header", "comments"):
+        assert text(f"<div class='{name}'><article><h1>T</h1><p>whole text</article></div><div class=sidebar>s</div>", None) == "T whole text", name
+    assert text("<form id=aspnetForm><div>menu</div><main><p>text of it</main></form>", None) == "text of it"
+    assert text("<div class=left-sidebar><p>most of the text of this page</p><div class=cookie-bar>c</div></div><div>end</div>", None) == "most of the text of this page end"
+    assert text("<main><p>Home</p><div class=right-sidebar><article>the article</article><div class=comments>" + "<p>reader</p>" * 20 + "</div></div></main>", None) == "Home the article"
+    # parts that hold articles of readers or of other pages stay out
+    assert text("<div class=right-sidebar><article>the article</article><div class=sidebar><article>card</article></div></div><div class=comments>"
+                "<article class=comment-body>a reader with many words</article></div>", None) == "the article"
+    assert [wrapper.name_kind(n) for n in ("legal-news", "right-sidebar", "shareButtons", "related-posts", "no-sidebar", "main-content")] == [0, 1, 1, 1, 0, 2]
+    # without marks the aligned slots decide: a long constant list is template, the varying part is the content
+    page = ("<div class=sidebar>" + "<p>the same list on all pages</p>" * 9 + "</div><div class=nav-layout-sidebar><div>Our site</div><p>text {0} of this page, and {0} again</p></div>")
+    rows = [(i, f"http://h.example/{i}", page.format(f"number{i}")) for i in range(30)]
+    got = {r.page_id: r.main_text for r in wrapper.extracted(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got[4] == "text number4 of this page, and number4 again"
+
+
 def test_wrapper_drops_what_never_changes(spark):
     page = "<html><body><div>Our site</div><div><h2>Title {0}</h2><p>text {0} of this page</p><span>Read more here</span></div><div>All rights</div></body></html>"
     rows = [(i, f"http://h.example/{i}", page.format(f"number{i} x{i * 7}")) for i in range(30)]
