@@ -230,6 +230,18 @@ def test_layout_names_do_not_cut_the_article(spark):
     assert got[4] == "text number4 of this page, and number4 again"
 
 
+def test_all_parts_of_the_article_stay():
+    text = wrapper.main_text
+    long = "a long text of the article " * 20
+    assert text(f"<main><h1>Title</h1><div class='content'><p>{long}</p></div><p>end</p></main>", None) == f"Title {long}end"
+    assert text(f"<div class=post><h1>Title</h1><div class=entry-content>{long}</div><nav>n</nav><p>end</p></div>", None) == f"Title {long}end"
+    assert text(f"<div>menu</div><div class=entry-header><h1>Title</h1></div><div class=entry-content>{long}</div><div>foot</div>", None) == f"Title {long}".strip()
+    assert text(f"<div class=post-content>one</div><div class=advert>x</div><div class=post-content>{long}</div><div class=post-content>three</div>", None) == f"one {long}three"
+    assert text(f"<div class=entry-header>Title</div><article>{long}</article>", None) == f"Title {long}".strip()
+    assert text(f"<article><header class=entry-header><h1>Title</h1></header>{long}<footer>f</footer></article>", None) == f"Title {long}".strip()
+    assert text(f"<h1 class=entry-title>Title</h1><div>{long}</div>", None) == f"Title {long}".strip()
+
+
 def test_wrapper_drops_what_never_changes(spark):
     page = "<html><body><div>Our site</div><div><h2>Title {0}</h2><p>text {0} of this page</p><span>Read more here</span></div><div>All rights</div></body></html>"
     rows = [(i, f"http://h.example/{i}", page.format(f"number{i} x{i * 7}")) for i in range(30)]
