@@ -1,13 +1,15 @@
 """Quality rules, with DataFrame functions only: base counts, and divergence from language references.
 
 Every text gets two histograms, of character classes and of its language's common words (the other
-words share one bin). The reference of a language is the sum over all of its documents, so one pass
+words share one bin). The reference of a language is the sum over all of its documents, that of a null or
+unknown language the sum over all documents of the table; there the common words of all languages share one bin, since
+texts of one language are far from a mixture of them word by word, as far as gibberish is. So one pass
 computes the histograms, which are small and staged, and a second compares them. A document fails
 where the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) of a histogram
 exceeds its bound; a histogram with too few entries on either side gives no verdict.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null or unknown
-language uses the reference over all documents and the words of all languages; repeated rows are
+language ("en-US" and "EN" are unknown) uses the reference over all documents and the words of all languages; repeated rows are
 judged alike; an empty table gives no rows.
 """
 
@@ -28,6 +30,8 @@ COMMON = {
     "fr": "de la le et les des en un du une que pour est qui dans par pas au sur avec",
     "es": "de la que el en y los se del las por un no con su una es para al lo",
 }
+#: Common words of all languages.
+EVERY = tuple(dict.fromkeys(w for v in COMMON.values() for w in v.split()))
 #: Character classes, each given by what is not in it (fixed values). ASCII blanks are a class too, and all
 #: other characters, most of them small letters, are the last one.
 OUTSIDE = {"upper": r"[^\p{Lu}\p{Lt}]+", "digit": r"\P{N}+", "stop": r"[^.,;:?'\"()\-]+", "symbol": r"[^!#*$%&|<>=_@+/\\~^{}\[\]]+"}
@@ -80,15 +84,18 @@ def base_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def histograms(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Append ``chars`` (entries per class) and ``common`` (entries per common word of the language, then
-    of all other words). Needs ``_words`` of ``base_counts``."""
+    """Append ``chars`` (entries per class), ``n_common`` (common words of any language) and ``common`` (entries per
+    common word of the language, or of all languages as one where it is unknown, then of all other words).
+    Needs ``_words`` of ``base_counts``."""
     body = F.coalesce(F.col(text), F.lit(""))
     counted = df.withColumns({f"_{name}": F.length(F.regexp_replace(body, other, "")) for name, other in OUTSIDE.items()})
     counted = counted.withColumn("_blank", F.length(body) - F.col("word_chars"))
     named = [F.col(f"_{name}") for name in (*OUTSIDE, "blank")]
     chars = F.array(*[x.cast("double") for x in named], F.greatest(F.length(body) - reduce(lambda a, b: a + b, named), F.lit(0)).cast("double"))
+    known = F.filter(F.split(F.lower(F.array_join("_words", " ")), " "), lambda w: w.isin(*EVERY))
+    counted = counted.withColumn("chars", chars).withColumn("_known", known).withColumn("n_common", F.size("_known").cast("double"))
     # every word stands between blanks of its own, so that a word is found by plain search
-    counted = counted.withColumn("chars", chars).withColumn("_spaced", F.lower(F.concat(F.lit(" "), F.array_join("_words", "  "), F.lit(" "))))
+    counted = counted.withColumn("_spaced", F.concat(F.lit(" "), F.array_join("_known", "  "), F.lit(" ")))
 
     def uses(word: str) -> Column:
         return ((F.octet_length("_spaced") - F.octet_length(F.replace(F.col("_spaced"), F.lit(f" {word} "), F.lit("")))) / (len(word.encode()) + 2)).cast("double")
@@ -97,11 +104,10 @@ def histograms(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
         return F.array(*[uses(w) for w in words])
 
     own = reduce(lambda a, k: a.when(F.col(lang) == k, bins(COMMON[k].split())), COMMON, F.when(F.lit(False), F.array().cast("array<double>")))
-    every = list(dict.fromkeys(w for v in COMMON.values() for w in v.split()))
-    counted = counted.withColumn("_bins", own.otherwise(bins(every)))
+    counted = counted.withColumn("_bins", own.otherwise(F.array("n_common")))
     found = F.aggregate("_bins", F.lit(0.0), lambda a, x: a + x)
     return (counted.withColumn("common", F.concat(F.col("_bins"), F.array(F.greatest(F.col("n_words") - found, F.lit(0.0)))))
-            .drop("_words", "_spaced", "_bins", *[f"_{name}" for name in (*OUTSIDE, "blank")]))
+            .drop("_words", "_known", "_spaced", "_bins", *[f"_{name}" for name in (*OUTSIDE, "blank")]))
 
 
 def total(histogram: Column) -> Column:
@@ -119,13 +125,18 @@ def js_distance(one: Column, other: Column, a: Column, b: Column) -> Column:
 
 
 def references(counted: DataFrame, lang: str = "lang") -> DataFrame:
-    """One row per language: the sums of its documents' histograms.
+    """One row per language: the sums of its documents' histograms; in that of '' the sums over all documents.
 
     A language is a short code out of a small set, and the sums are taken before the shuffle.
     """
     lengths = {"chars": len(OUTSIDE) + 2, "common": 1 + max(len(v.split()) for v in COMMON.values())}
-    sums = [F.array(*[F.coalesce(F.sum(F.get(name, F.lit(i))), F.lit(0.0)) for i in range(n)]).alias(f"ref_{name}") for name, n in lengths.items()]
-    return counted.groupBy(F.col(lang).alias("ref_lang")).agg(*sums)
+    sums = {name: F.array(*[F.coalesce(F.sum(F.get(name, F.lit(i))), F.lit(0.0)) for i in range(n)]) for name, n in lengths.items()}
+    # written, so that the documents are read once for both
+    per = staged(counted.groupBy(F.col(lang).alias("ref_lang")).agg(*[v.alias(f"ref_{k}") for k, v in sums.items()], F.sum("n_common").alias("n_common"),
+                                                                    F.sum("n_words").cast("double").alias("n_words")), "references")
+    chars = F.array(*[F.sum(F.get("ref_chars", F.lit(i))) for i in range(lengths["chars"])])
+    every = per.groupBy(F.lit("").alias("ref_lang")).agg(chars.alias("ref_chars"), F.array(F.sum("n_common"), F.sum("n_words") - F.sum("n_common")).alias("ref_common"))
+    return per.where("ref_lang != ''").select(every.columns).unionByName(every)
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
@@ -134,13 +145,13 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "
                          F.when(F.col(f"`{lang}`").isin(*COMMON), F.col(f"`{lang}`")).otherwise("").alias("lang"))
     counted = staged(histograms(base_counts(narrow)).drop("text"), "histograms")
     refs = references(counted)
-    # at most one row per known language and one for the rest
+    # at most one row per known language and one over all documents for the rest
     both = counted.join(F.broadcast(refs), F.col("lang") == F.col("ref_lang"), "left")
     both = both.withColumn("ref_common", F.slice("ref_common", F.lit(1), F.size("common")))
     both = both.withColumns({f"all_{c}": total(F.col(c)) for c in ("chars", "common", "ref_chars", "ref_common")})
     chars = F.when((F.col("all_chars") >= LEAST_CHARS) & (F.col("all_ref_chars") >= LEAST_REFERENCE),
                    js_distance(F.col("chars"), F.col("ref_chars"), F.col("all_chars"), F.col("all_ref_chars")))
-    common = F.when((F.col("n_words") >= LEAST_WORDS) & (F.col("all_ref_common") >= LEAST_REFERENCE) & (F.col("lang") != ""),
+    common = F.when((F.col("n_words") >= LEAST_WORDS) & (F.col("all_ref_common") >= LEAST_REFERENCE),
                     js_distance(F.col("common"), F.col("ref_common"), F.col("all_common"), F.col("all_ref_common")))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     far = F.coalesce(F.col("char_distance") > MAX_CHARS, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_COMMON, F.lit(False))

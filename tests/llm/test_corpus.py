@@ -114,6 +114,29 @@ def test_junk_goes_and_clean_stays(spark):
     assert sum(r.kept for r in clean) >= 0.995 * len(clean) and sum(r.kept for r in junk) <= 0.3 * len(junk)
 
 
+def test_unknown_languages_meet_the_reference_of_all(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    junk_ids = [i for i, q in labels.items() if q == 0]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    unknown = F.col("doc_id").isin(junk_ids) | (F.col("doc_id") % 5 == 0)
+    # all of the junk and a fifth of the others
+    docs = docs.withColumn("lang", F.when(unknown, F.element_at(F.array(F.lit(None), F.lit("en-US"), F.lit("EN")), (F.col("doc_id") % 3 + 1).cast("int"))).otherwise(F.col("lang")))
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = [r for r in rules.judged(docs).collect() if r.doc_id in labels and not r.base_failed and (r.doc_id in junk_ids or r.doc_id % 5 == 0)]
+    clean, junk = [r for r in rows if labels[r.doc_id] == 1], [r for r in rows if labels[r.doc_id] == 0]
+    assert sum(r.kept for r in clean) >= 0.995 * len(clean) and sum(r.kept for r in junk) <= 0.3 * len(junk)
+    common = {w for v in rules.COMMON.values() for w in v.split()}
+    uses = {i: (sum(w in common for w in words), len(words)) for i, t in text.items() for words in [re.findall(WORD, t.lower())]}
+    y = sum(u for u, _ in uses.values()) / sum(n for _, n in uses.values())
+    for r in rows:
+        assert (r.word_distance is None) == (r.n_words < rules.LEAST_WORDS)
+        if r.word_distance is not None:
+            x = uses[r.doc_id][0] / uses[r.doc_id][1]
+            want = sum(a * log2(2 * a / (a + b)) if a else 0 for p, q in ((x, y), (1 - x, 1 - y)) for a, b in ((p, q), (q, p))) / 2
+            assert abs(r.word_distance ** 2 - want) < 1e-9
+
+
 # ---- quality --------------------------------------------------------------------------------------
 
 def test_held_out_quality(spark):
