@@ -19,20 +19,25 @@ LIMIT = 512
 
 
 def encode(df: DataFrame, text: str = "text", out: str = "token_ids", path: str | None = None,
-           pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+           pattern: str = public_tokenizers.PATTERN, checked: bool = False) -> DataFrame:
     """Append the ids of every whole text as an array of ints; a null text counts as empty (no ids).
 
+    With ``checked`` the ids are decoded too, and a text that they do not give back stops the run.
     No rows move: the vocabulary is read once per worker from ``path``, a file every worker has.
     """
     path = path or public_tokenizers.path(RANKS)
 
     def ids(texts: pa.Array) -> pa.Array:
-        encoder = ranks_encoder(path, pattern)
+        encoder, tokens = ranks_encoder(path, pattern), rank_tokens(path) if checked else []
         flat: list[int] = []
         offsets = np.zeros(len(texts) + 1, np.int32)
         for n, t in enumerate(texts, 1):
             if t.is_valid:
-                flat += encoder.encode(t.as_py())
+                one = t.as_py()
+                found = encoder.encode(one)
+                if checked and b"".join([tokens[i] for i in found]) != one.encode():
+                    raise ValueError(f"the token ids of a text of {len(one)} characters do not decode to it")
+                flat += found
             offsets[n] = len(flat)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.fromiter(flat, np.int32, len(flat))))
 

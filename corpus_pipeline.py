@@ -4,7 +4,7 @@
 2. ``near_duplicates``: of each component of near copies the document with the least id stays.
 3. ``secrets``: every secret in a text is replaced by a mark.
 4. ``mix``: documents are repeated, cut or left out so that the sources reach their target shares.
-5. ``tokens``: the ids of every text are appended.
+5. ``tokens``: the ids of every text are appended; they are decoded too, and ids that do not give the text stop the run.
 
 Columns beyond those of documents pass through. A row without a doc_id is kept by stage 2 only if no
 row of its component has an id; rows that repeat the kept id are reduced to one of them.
@@ -46,8 +46,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids."""
-    return tokens.encode(docs)
+    """The documents with their token ids, each text's decoded and compared with it."""
+    return tokens.encode(docs, checked=True)
 
 
 STAGES = [("quality", good), ("near_duplicates", distinct), ("secrets", masked), ("mix", mixed), ("tokens", encoded)]

@@ -317,6 +317,19 @@ def test_pipeline(spark, documents):
     assert last.columns == [*columns, "token_ids"] and last.count() == docs.count()
 
 
+def test_pipeline_stops_at_wrong_ids(spark, odd, monkeypatch):
+    from cliniform.llm import tokens
+    assert corpus_pipeline.STAGES[-1][1](spark, odd, FOLDER).count() == odd.count()
+
+    class Wrong:
+        def encode(self, text):
+            return [0] * len(text)
+
+    monkeypatch.setattr(tokens, "ranks_encoder", lambda path, pattern: Wrong())
+    with pytest.raises(Exception, match="do not decode"):
+        corpus_pipeline.STAGES[-1][1](spark, odd, FOLDER).collect()
+
+
 def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
     folder = saved(spark, tmp_path, labels=("doc_id long, quality int, toxic int", [(1, 1, 0), (None, None, None)]))
     for docs in (odd, none, odd.withColumn("extra", F.lit(1)).withColumn("bits", F.lit("b"))):
