@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,9 +39,9 @@ from .common import sliced, table
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of text, with 64 more per row, after which a block of texts is closed.
-BLOCK = 16 << 20
-#: An id of B in a pair's code.
-SHIFT = 20
+BLOCK = 4 << 20
+#: Characters after which a text is cut for the second tokenizer, where a cut can't change its pieces.
+CUT = 1 << 15
 
 
 class Sides:
@@ -70,14 +71,27 @@ class Sides:
         self.identity = np.array([same.get(raw, -1) if raw else -1 for raw in self.bytes_a], np.int64)
         self.long_a, self.long_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
         ids_a, ids_b = range(len(self.bytes_a)), range(size)
+        # a pair's code: the id of A, then the bits of an id of B; links take four bytes each where both fit
+        self.shift = max(1, (size - 1).bit_length())
+        self.link_type = np.int32 if len(self.bytes_a) << self.shift < 1 << 31 else np.int64
+        # no piece goes on behind a blank, so a text may be cut at a single blank: each part gets the blank back
+        self.cut = re.compile("(?<=[^ ▁]) (?=[^ ▁])") if not any("▁" in p.lstrip("▁") for p in pieces) else None
         #: How an id is written: inside a side of a group, and at its end.
         self.written = pa.array([f"{i}," for i in ids_a] + [f"{i}|" for i in ids_a] + [f"{i}," for i in ids_b] + [f"{i};" for i in ids_b], pa.binary())
 
+    def pieces(self, text: str) -> list[int]:
+        """Ids of B, in parts: the library takes hundreds of bytes per character of what it is given at once."""
+        out, start = [], 0
+        while self.cut and len(text) - start > CUT and (at := self.cut.search(text, start + CUT)):
+            out += self.b.encode(text[start:at.start()])
+            start = at.end()
+        return out + self.b.encode(text[start:])
+
     def aligned(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids of both sides and the numbers of each group's last tokens; None where a side does not give the text back."""
         # half of a surrogate pair cannot come from UTF-8, so every text encodes
         raw = (" " + text).encode()
-        a, b = np.array(self.a.encode_ordinary(" " + text), np.int64), np.array(self.b.encode(text), np.int64)
+        a, b = np.array(self.a.encode_ordinary(" " + text), np.int64), np.array(self.pieces(text), np.int64)
         if b"".join([self.bytes_a[i] for i in a.tolist()]) != raw or b"".join([self.bytes_b[i] for i in b.tolist()]) != raw:
             return None
         ends_a, ends_b = np.cumsum(self.long_a[a]), np.cumsum(self.long_b[b])
@@ -142,12 +156,12 @@ def links_of(df: DataFrame, text: str, paths: tuple[str, str, str], most: int =
                         rows.append((0, block, 0, 0, 0, 0, "", b"", None, None))
                         continue
                     a, b, last_a, last_b = got
-                    link = a[last_a] << SHIFT | b[last_b]
+                    link = a[last_a] << both.shift | b[last_b]
                     straight = both.identity[a[last_a]] == b[last_b]
                     regular += np.bincount(a[last_a][straight], minlength=len(regular))
                     codes.append(link[~straight])
                     # an identity link is kept as the id of A alone
-                    rows.append((0, block, len(a), len(b), len(last_a), len(link), both.groups_digest(*got), np.where(straight, -1 - a[last_a], link).tobytes(), None, None))
+                    rows.append((0, block, len(a), len(b), len(last_a), len(link), both.groups_digest(*got), np.where(straight, -1 - a[last_a], link).astype(both.link_type).tobytes(), None, None))
                 yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(zip(*rows), own)], *piece.columns[:-1]], shape.names)
                 if size >= most:
                     if codes:
@@ -185,14 +199,14 @@ def align(df: DataFrame, text: str = "text", path_a: str | None = None, path_b:
     paths = (path_a or public_tokenizers.path(A), path_b or public_tokenizers.path(B), pattern)
     found = links_of(df, text, paths, block)
     # at most one row per id of A, so the driver may hold them: both vectors go to the workers with the code
-    identity = sides(*paths).identity
+    both = sides(*paths)
+    identity, mask, link_type = both.identity, (1 << both.shift) - 1, both.link_type
     counts = np.zeros(len(identity), np.int64)
     for row in unpacked(found.where("kind = 2")).groupBy("code").agg(F.sum("n").alias("n")).collect():
         counts[row.code] = row.n
-    mask = (1 << SHIFT) - 1
     asked = unpacked(found.where("kind = 1"))
     pairs = asked.groupBy("code").agg(F.sum("n").alias("n"))
-    tops = np.zeros(len(sides(*paths).bytes_b), np.int64)
+    tops = np.zeros(len(both.bytes_b), np.int64)
     np.maximum.at(tops, identity[counts > 0], counts[counts > 0])
     # at most one row per id of B
     for row in pairs.groupBy(F.col("code").bitwiseAND(mask).alias("b")).agg(F.max("n").alias("n")).collect():
@@ -215,7 +229,7 @@ def align(df: DataFrame, text: str = "text", path_a: str | None = None, path_b:
         top = n == tops[code & mask]
         sums, bests = [], []
         for links in texts.column("links"):
-            link = np.frombuffer(links.as_buffer(), np.int64)
+            link = np.frombuffer(links.as_buffer(), link_type)
             straight = -1 - link[link < 0]
             at = np.searchsorted(code, link[link >= 0])
             sums.append(int(counts[straight].sum() + n[at].sum()))

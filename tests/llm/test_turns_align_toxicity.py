@@ -176,6 +176,13 @@ def test_alignment_of_documents(spark, peers):
     assert [got[r.doc_id] for r in rows] == brute_align([r.text for r in rows], peers)
 
 
+def test_long_texts_are_cut_where_pieces_end(peers):
+    both = align.sides(P.path(align.A), P.path(align.B), P.PATTERN)
+    text = ("some words,  more\n words ▁ and é 日本 \t x" * 9000)
+    assert len(text) > 3 * align.CUT and both.pieces(text) == peers[1].encode(text)
+    assert both.pieces("y" * 70_000) == peers[1].encode("y" * 70_000)
+
+
 def test_identity_map_is_by_bytes(spark):
     both = align.sides(P.path(align.A), P.path(align.B), P.PATTERN)
     for a, b in enumerate(both.identity.tolist()):
