@@ -43,7 +43,9 @@ def text_id(c: str | Column, prefix: str = "") -> Column:
 
 def contains_any(c: str | Column, words: list[str]) -> Column:
     """True when the lower-cased text holds one of the words; NULL for NULL text."""
-    return F.lower(as_column(c)).rlike("|".join(re.escape(w) for w in dict.fromkeys(words)))
+    # a word that holds another one says nothing more
+    least = [w for w in dict.fromkeys(words) if not any(o in w for o in words if o != w)]
+    return F.lower(as_column(c)).rlike("|".join(re.escape(w) for w in least))
 
 
 def ilike_any(c: str | Column, fragments: list[str]) -> Column:

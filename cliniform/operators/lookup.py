@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_column
-from .sizing import attach, is_small, setting
+from .sizing import attach, is_small, join_spread, setting
 
 # Columns of the value-set map
 CLASS, SOURCE, TARGET, LABEL, DESCRIPTION, VALUE = (
@@ -103,10 +103,10 @@ def lookup_contained(df: DataFrame, vmap: DataFrame, cls: str, text: Column, out
                      where: Column | None = None) -> DataFrame:
     """Find the map entry whose text *contains* the fact text (not the other way round).
 
-    All substrings of the map's texts are laid out once; "contains" turns into equality and no pair of a
-    fact and a map row is ever tested. What is laid out is measured first, from the lengths of the texts
-    (its size grows with their third power): within the bound it is broadcast, beyond it both sides are shuffled.
-    Empty fact texts find nothing.
+    Where all substrings of the class's texts fit the broadcast bound, they are laid out once and "contains" is an
+    equality; their size grows with the third power of the lengths and is known from one aggregate per map.
+    Beyond the bound the distinct fact texts go through an index of the map's q-grams (:func:`contained`), whose
+    size grows with the texts. No pair of a fact and a map row is tested either way. Empty fact texts find nothing.
     """
     k = f"_k_{out}"
     src = F.lower(F.col(by)) if fold else F.col(by)
@@ -114,21 +114,72 @@ def lookup_contained(df: DataFrame, vmap: DataFrame, cls: str, text: Column, out
     if where is not None:
         part = part.where(where)
     wanted = take or {out: TARGET}
-    pieces = substrings(
-        part.select(src.alias("_t"), *[F.col(s).alias(o) for o, s in wanted.items()]), "_t", k).drop("_t")
-    outs = list(wanted)
-    dim = pieces.groupBy(k).agg(F.min(F.struct(*outs)).alias("_row")).select(
-        k, *[F.col(f"_row.{o}").alias(o) for o in outs])
+    texts = part.select(src.alias("_t"), *[F.col(s).alias(o) for o, s in wanted.items()]).where(F.length("_t") > 0)
     probe = F.lower(text) if fold else text
-    return attach(df, dim, [(probe, k)], small=laid_out_bytes(part, src) <= setting(vmap.sparkSession, "BROADCAST_BYTES"))
+    if class_bytes(vmap, cls, by) <= setting(vmap.sparkSession, "BROADCAST_BYTES"):
+        return attach(df, least_row(substrings(texts, "_t", k).drop("_t"), k, list(wanted)), [(probe, k)], small=True)
+    found = contained(df.select(probe.alias(k)).where(F.length(k) > 0).distinct(), texts, k, list(wanted))
+    return join_spread(df, found, probe, k, "left").drop(k)
 
 
-def laid_out_bytes(part: DataFrame, text: Column) -> int:
+def least_row(df: DataFrame, key: str, outs: list[str]) -> DataFrame:
+    """One row per key: the least of its other columns together."""
+    return df.groupBy(key).agg(F.min(F.struct(*outs)).alias("_row")).select(key, *[F.col(f"_row.{o}").alias(o) for o in outs])
+
+
+#: Length of the index's grams.
+GRAM = 3
+
+
+def grams(df: DataFrame, text: str, out: str, length: int = GRAM) -> DataFrame:
+    """The different grams of a text, one per row; texts shorter than a gram give none."""
+    places = F.sequence(F.lit(1), F.length(text) - length + 1)
+    return df.where(F.length(text) >= length).withColumn(out, F.explode(F.array_distinct(
+        F.transform(places, lambda n: F.substring(F.col(text), n, F.lit(length))))))
+
+
+def contained(probes: DataFrame, texts: DataFrame, key: str, outs: list[str]) -> DataFrame:
+    """For each probe that some text (column ``_t``) contains: the least row of those texts.
+
+    The texts' q-grams are an inverted index. A probe is looked up by the one of its grams that fewest texts
+    hold; only those texts are tested. A probe with a gram that no text holds is out at once. Probes shorter than a
+    gram are grams of their own length. Everything is as large as the texts and probes, or as the tested pairs.
+    """
+    one = texts.groupBy("_t").agg(F.min(F.struct(*outs)).alias("_row")).withColumn("_tid", F.xxhash64("_t"))
+    index = grams(one.select("_t", "_tid"), "_t", "_g").select("_g", "_tid")
+    held = index.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    asked = grams(probes, key, "_g").join(held, "_g", "left").groupBy(key).agg(
+        F.min(F.struct("_n", "_g")).alias("_rarest"), F.count_if(F.col("_n").isNull()).alias("_absent"))
+    asked = asked.where("_absent = 0").select(key, F.col("_rarest._g").alias("_g"))
+    # two texts of one hash only make one more pair to test
+    pairs = asked.join(index, "_g").join(one, "_tid").where(F.col("_t").contains(F.col(key))).select(key, "_row")
+    for length in range(1, GRAM):
+        pairs = pairs.unionByName(probes.where(F.length(key) == length).join(grams(one, "_t", "_g", length), F.col(key) == F.col("_g")).select(key, "_row"))
+    return pairs.groupBy(key).agg(F.min("_row").alias("_row")).select(key, *[F.col(f"_row.{o}").alias(o) for o in outs])
+
+
+def _laid_out(text: Column) -> Column:
     """Bytes that :func:`substrings` makes of some texts: a text of n characters has n - l + 1 substrings of
-    length l, which come with some 80 bytes of row each. One row is fetched from one pass over the texts."""
+    length l, which come with some 80 bytes of row each."""
     n = F.length(text).cast("double")
-    total = n * (n + 1) * (n + 2) / 6 + 80 * n * (n + 1) / 2
-    return int(part.agg(F.coalesce(F.sum(total), F.lit(0.0))).first()[0])
+    return F.coalesce(F.sum(n * (n + 1) * (n + 2) / 6 + 80 * n * (n + 1) / 2), F.lit(0.0))
+
+
+def laid_out_bytes(part: DataFrame, text: Column) -> int:
+    """What laying out some texts would take; one row is fetched from one pass over them."""
+    return int(part.agg(_laid_out(text)).first()[0])
+
+
+_class_bytes: WeakKeyDictionary[DataFrame, dict[tuple[str, str], int]] = WeakKeyDictionary()
+
+
+def class_bytes(vmap: DataFrame, cls: str, by: str) -> int:
+    """The same for one class of a map. One pass tells all classes and columns, once per map."""
+    if vmap not in _class_bytes:
+        texts = [c for c in (SOURCE, LABEL, DESCRIPTION) if c in vmap.columns]
+        sums = vmap.groupBy(CLASS).agg(*[_laid_out(F.col(c)).alias(c) for c in texts]).collect()  # one row per class
+        _class_bytes[vmap] = {(r[CLASS], c): int(r[c]) for r in sums for c in texts}
+    return _class_bytes[vmap].get((cls, by), 0)
 
 
 def concepts(dictionary: DataFrame, take: dict[str, str], vocabularies: list[str] | None = None,

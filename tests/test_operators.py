@@ -214,3 +214,58 @@ def test_numbers_in_plain_digits(spark):
     from cliniform.plans.labs import number_text
     rows = spark.createDataFrame([(x,) for x in (12345678.0, 0.0005, 25000000.5, 0.0, -7.0, 0.1, 100.0, None)], "x double")
     assert [r[0] for r in rows.select(number_text("x")).collect()] == ["12345678", "0.0005", "25000000.5", "0", "-7", "0.1", "100", None]
+
+
+def test_index_of_map_texts_equals_brute_force(spark):
+    """Long texts, rare and common grams, probes below, at and above a gram's length."""
+    import random
+
+    from cliniform.operators import lookup as lk
+    rng = random.Random(5)
+    texts = [(n, "".join(rng.choice("abcde ") for _ in range(rng.choice([1, 2, 3, 40, 2000])))) for n in range(60)] + [(60, ""), (61, None)]
+    some = [t for _, t in texts if t]
+    probes = {t[at:at + n] for t in some for at in (0, len(t) // 2) for n in (1, 2, 3, 4, 9, 500, 2000)} | {"zz", "z", "abcz", "", "dcbadcbaabcd", *["ab" * n for n in range(1, 6)]}
+    frame = spark.createDataFrame(texts, "target_code int, _t string").where("_t <> ''")
+    got = {r.k: r.target_code for r in lk.contained(spark.createDataFrame([(p,) for p in sorted(probes - {""})], "k string"), frame, "k", ["target_code"]).collect()}
+    want = {p: min(n for n, t in texts if t and p in t) for p in probes - {""} if any(p in t for t in some)}
+    assert got == want
+
+
+def test_contained_lookup_beyond_the_bound(spark, monkeypatch):
+    """The two ways give one result; the second lays nothing out and tests no pair of a fact and a map row."""
+    from cliniform.operators import lookup as lk
+    from cliniform.operators import sizing
+    vmap = spark.createDataFrame([("c", f"t{n}", f"Label {n} of maker {'xyz' * (n % 7)}", f"s{n}", None, None) for n in range(40)] + [("other", "no", "maker", "s", None, None)],
+                                 "source_class string, target_code string, target_label string, source_code string, description string, value_code string")
+    facts = spark.createDataFrame([(n, t) for n, t in enumerate(["MAKER", "label 1", "zx", "x", "", None, "absent", "9 of", *["maker xyz"] * 30])], "fact_id int, text string")
+
+    def found():
+        df = lk.lookup_contained(facts, vmap, "c", F.col("text"), "out", by=lk.LABEL)
+        return df, sorted((r.fact_id, r.out) for r in df.collect())
+
+    near = found()[1]
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 1000)
+    df, far = found()
+    assert far == near and len(far) == facts.count()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cross" not in plan and "_salt_d" not in plan
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.text("ab c", min_size=1, max_size=5), st.sampled_from("XYZ")), max_size=12), st.text("ab c", max_size=30))
+def test_one_pass_finds_the_first_rule(rules, text):
+    from cliniform.operators.rules import automaton, ordered, reachable
+    plain = next((t for p, t in ordered(rules, "fixed") if p in text), None)
+    live = reachable(ordered(rules, "fixed"))
+    first = min((n for _, n in automaton(tuple(p for p, _ in live)).iter(text)), default=None) if live else None
+    assert (None if first is None else live[first][1]) == plain
+
+
+def test_frames_and_columns_classify_alike(spark):
+    from cliniform.operators.rules import classify, classify_texts
+    from cliniform.rules.results import RESULT_TEXT
+    texts = [(n, t) for n, t in enumerate([None, "", "ABNORMAL", "not detected", "xx o Positive", "prose " * 5000 + "Pink", "see comment", *[p + " " + q for p, _ in RESULT_TEXT[::7] for q, _ in RESULT_TEXT[::9]]])]
+    df = spark.createDataFrame(texts, "n int, t string")
+    for mode in ("strict", "fixed", "longest"):
+        both = classify_texts(df, "t", RESULT_TEXT, "a", "OT", mode).withColumn("b", classify("t", RESULT_TEXT, "OT", mode=mode))
+        assert both.where("not (a <=> b)").count() == 0
