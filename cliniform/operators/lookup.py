@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import as_column
-from .sizing import attach, is_small, join_spread, setting
+from ..sources.stage import staged
+from .sizing import attach, is_small, join_spread, measured, planned_bytes, setting
 
 # Columns of the value-set map
 CLASS, SOURCE, TARGET, LABEL, DESCRIPTION, VALUE = (
@@ -182,16 +184,42 @@ def class_bytes(vmap: DataFrame, cls: str, by: str) -> int:
     return _class_bytes[vmap].get((cls, by), 0)
 
 
+_slices: WeakKeyDictionary[DataFrame, dict[tuple, DataFrame]] = WeakKeyDictionary()
+
+
+def dictionary_slice(dictionary: DataFrame, vocabularies: list[str] | None = None, where: Column | None = None) -> DataFrame:
+    """Rows of the concept dictionary of some vocabularies that pass a test.
+
+    A filter does not shrink the planned size of a scan, so a few rows of a large dictionary would be planned like all of
+    it. A large dictionary is therefore written once more, clustered by vocabulary; each slice is cut from the
+    folders of its vocabularies, once, and its true size is counted while it is written. A slice of a small
+    dictionary is small, and stays a plain filter.
+    """
+    def cut(rows: DataFrame) -> DataFrame:
+        part = rows.where(F.col("vocabulary_id").isin(vocabularies)) if vocabularies else rows
+        return part if where is None else part.where(where)
+
+    if (not vocabularies and where is None) or is_small(dictionary):
+        return cut(dictionary)
+    known = _slices.setdefault(dictionary, {})
+    if () not in known:
+        known[()] = staged(dictionary, "dictionary", by="vocabulary_id")
+    key = (tuple(sorted(vocabularies or [])), str(where))
+    if key not in known:
+        seen = Observation()
+        part = cut(known[()]).select(*dictionary.columns)
+        widths = reduce(Column.__add__, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in part.columns], F.lit(32))
+        slice_ = staged(part.observe(seen, F.coalesce(F.sum(widths), F.lit(0)).alias("bytes")), "slice")
+        known[key] = measured(slice_, max(1, int(seen.get["bytes"])))
+    return known[key]
+
+
 def concepts(dictionary: DataFrame, take: dict[str, str], vocabularies: list[str] | None = None,
              where: Column | None = None, key: str = "concept_id") -> DataFrame:
     """Slice of the concept dictionary: renamed columns, restricted vocabulary."""
-    part = dictionary
-    if vocabularies:
-        part = part.where(F.col("vocabulary_id").isin(vocabularies))
-    if where is not None:
-        part = part.where(where)
-    return part.select(F.col(key).alias(f"_c_{next(iter(take))}"),
-                       *[F.col(s).alias(o) for o, s in take.items()])
+    part = dictionary_slice(dictionary, vocabularies, where)
+    taken = part.select(F.col(key).alias(f"_c_{next(iter(take))}"), *[F.col(s).alias(o) for o, s in take.items()])
+    return measured(taken, planned_bytes(part))
 
 
 def concept_lookup(
@@ -204,20 +232,14 @@ def concept_lookup(
     how: str = "left",
 ) -> DataFrame:
     """Join facts to the dictionary by concept id; ``take`` maps new names to its columns."""
-    dim = concepts(dictionary, take, vocabularies, where)
-    # a slice of a small dictionary is small; a slice of a large one is measured itself
-    return attach(df, dim, [(as_column(key), f"_c_{next(iter(take))}")], how, small=is_small(dictionary) or None)
+    return attach(df, concepts(dictionary, take, vocabularies, where), [(as_column(key), f"_c_{next(iter(take))}")], how)
 
 
 def codes_of(dictionary: DataFrame, out: str, vocabularies: list[str] | None = None,
              where: Column | None = None) -> DataFrame:
     """Distinct concept codes of a vocabulary, as a membership set."""
-    part = dictionary
-    if vocabularies:
-        part = part.where(F.col("vocabulary_id").isin(vocabularies))
-    if where is not None:
-        part = part.where(where)
-    return part.select(F.col("concept_code").alias(out)).distinct()
+    part = dictionary_slice(dictionary, vocabularies, where)
+    return measured(part.select(F.col("concept_code").alias(out)).distinct(), planned_bytes(part))
 
 
 def crosswalk(left: DataFrame, left_key: str, edges: DataFrame, relationship: str, right: DataFrame,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def measured(df: DataFrame, size: int) -> DataFrame:
+    """A frame whose size in memory is known; it is planned by it."""
+    _sizes[df] = size
+    return df
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Catalyst's upper estimate of the size of a plan (no job is run)."""
     if df not in _sizes:
@@ -79,6 +86,12 @@ def spread_over(df: DataFrame, salts: int, but: set[str] = frozenset()) -> Colum
     return F.pmod(F.xxhash64(*[F.col(c) for c in (ids or df.columns)]), F.lit(salts))
 
 
+def splits_hot_keys(spark: SparkSession) -> bool:
+    """Whether the adaptive engine splits the parts of hot keys in every join."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin")
+    return all(spark.conf.get(n).lower() == "true" for n in names)
+
+
 def attach(
     fact: DataFrame,
     dim: DataFrame,
@@ -92,14 +105,24 @@ def attach(
 
     ``on`` pairs a fact expression with a dimension column; the dimension columns are dropped.
     A dimension whose planned size is under the bound is broadcast, so the fact does not move.
-    A larger one is copied once per salt and joined on key + salt, which splits a hot key
-    over as many tasks as there are salts (see ``SETTINGS``).
+    Beyond it both sides are shuffled by the key, and the dimension once: the adaptive engine sees the sizes of the
+    shuffled parts and splits those of hot keys, while rows without a key are spread by their ids. Where the session
+    has no adaptive skew handling, the dimension is copied once per salt and joined on key + salt (see ``SETTINGS``).
     """
     keys = [k for _, k in on]
     fits = is_small(dim) if small is None else small
+    left = fact
     if fits:
         right, pairs = F.broadcast(dim), on
-        left = fact
+    elif splits_hot_keys(dim.sparkSession):
+        right, pairs = dim, on
+        if not null_safe:
+            lacking = reduce(Column.__or__, [e.isNull() for e, _ in on])
+            place = F.when(lacking, F.lit(1) + spread_over(fact, setting(dim.sparkSession, "NULL_SALTS"))).otherwise(F.lit(0)).cast("bigint")
+            left = fact.withColumn("_salt_f", place)
+            # zero for every row, but computed: the optimiser would drop a literal from the join key
+            right = dim.withColumn("_salt_d", F.pmod(F.xxhash64(*keys), F.lit(1)))
+            pairs = [*on, (F.col("_salt_f"), "_salt_d")]
     else:
         count = setting(dim.sparkSession, "SALTS")
         salts = F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import (facility_zip, glue, hhmm, ilike_any, lead_code, null_of, packed_field, since, text_id)
 from ..operators.dedupe import first_per_key, nulls_last, union_all
-from ..operators.lookup import (DESCRIPTION, SOURCE, TARGET, VALUE, codes_of, concept_lookup, entries, lookup,
+from ..operators.lookup import (DESCRIPTION, SOURCE, TARGET, VALUE, codes_of, concept_lookup, dictionary_slice, entries, lookup,
                                 lookup_pair)
 from ..operators.membership import keep_persons, keep_visits, member_flag
 from ..operators.rules import code_levels
-from ..operators.sizing import attach, is_small, join_spread
+from ..operators.sizing import attach, is_small, join_spread, measured, planned_bytes
 from ..operators.update import delete_where, set_where
 from ..rules import drugs as D
 from ..rules import visits as R
@@ -137,10 +137,11 @@ def epidemic_codes(concept: DataFrame) -> DataFrame:
     """Per code fragment, the ICD codes that contain it (a handful each)."""
     hits = F.explode(F.filter(F.array(*[F.lit(f.lower()) for f in R.EPIDEMIC_FRAGMENTS]),
                               lambda f: F.contains(F.lower("concept_code"), f)))
-    coded = concept.where(F.col("vocabulary_id").isin(R.ICD_VOCABULARIES)
-                          & ilike_any("concept_code", R.EPIDEMIC_FRAGMENTS))
-    return coded.select("vocabulary_id", "concept_code", hits.alias("_fragment")).groupBy("_fragment").agg(
+    coded = dictionary_slice(concept, R.ICD_VOCABULARIES, ilike_any("concept_code", R.EPIDEMIC_FRAGMENTS))
+    grouped = coded.select("vocabulary_id", "concept_code", hits.alias("_fragment")).groupBy("_fragment").agg(
         F.collect_set(F.struct("vocabulary_id", "concept_code")).alias("_codes"))
+    # a code that holds several fragments stands once under each
+    return measured(grouped, planned_bytes(coded) * len(R.EPIDEMIC_FRAGMENTS))
 
 
 def recover_epidemic_codes(df: DataFrame, concept: DataFrame, raw: Column, guard: Column,

@@ -269,3 +269,68 @@ def test_frames_and_columns_classify_alike(spark):
     for mode in ("strict", "fixed", "longest"):
         both = classify_texts(df, "t", RESULT_TEXT, "a", "OT", mode).withColumn("b", classify("t", RESULT_TEXT, "OT", mode=mode))
         assert both.where("not (a <=> b)").count() == 0
+
+
+@pytest.fixture
+def large_dictionary(spark, tmp_path):
+    """Three vocabularies, one of them small, and a bound below the size of all but within that of the small one."""
+    import numpy as np
+    import pandas as pd
+    n = 60_000
+    ids = np.arange(n)
+    frame = pd.DataFrame({"concept_id": ids, "concept_name": [f"name of the concept {i * 7919 % n}" for i in ids], "vocabulary_id": np.where(ids < 300, "LOINC", np.where(ids % 2 == 0, "SNOMED", "ICD10CM")),
+                          "concept_class_id": np.where(ids % 3 == 0, "Lab Test", "Other"), "concept_code": [("U07.1" if i == 501 else f"B97.2{i}" if i == 601 else f"c{i}") for i in ids], "domain_id": "any"})
+    frame.to_parquet(f"{tmp_path}/concept.parquet")
+    return spark.read.parquet(f"{tmp_path}/concept.parquet")
+
+
+def test_slices_of_a_large_dictionary_are_planned_by_their_own_size(spark, large_dictionary, monkeypatch):
+    from cliniform.plans.encounters import epidemic_codes
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 100_000)
+    facts = spark.range(3000).select(F.col("id"), (F.col("id") % 1000).alias("key"))
+    lab = F.col("concept_class_id") == "Lab Test"
+    assert not sizing.is_small(large_dictionary)
+    found = lk.concept_lookup(facts, large_dictionary, "key", {"code": "concept_code"}, ["LOINC"], lab)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+    assert rows(found.where("code is not null"), "id", "code") == sorted(((i, f"c{i % 1000}") for i in range(3000) if i % 1000 < 300 and i % 1000 % 3 == 0), key=repr)
+    # one slice serves all lookups of a study
+    assert lk.dictionary_slice(large_dictionary, ["LOINC"], lab) is lk.dictionary_slice(large_dictionary, ["LOINC"], F.col("concept_class_id") == "Lab Test")
+    assert lk.dictionary_slice(large_dictionary, ["LOINC"]) is not lk.dictionary_slice(large_dictionary, ["LOINC"], lab)
+    codes = epidemic_codes(large_dictionary)
+    assert sizing.is_small(codes) and codes.count() == 2
+    texts = spark.createDataFrame([(1, "u07.1", "?", "OT"), (2, "x", "?", "OT")], "id int, raw string, code string, kind string")
+    got = recover_epidemic_codes(texts, large_dictionary, F.col("raw"), F.lit(True), "code", "kind")
+    assert rows(got, "id", "code") == [(1, "U07.1"), (2, "?")]
+    # a slice beyond the bound is shuffled once: no copies, and rows without a key are spread
+    wide = lk.concept_lookup(facts.withColumn("key", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("key"))), large_dictionary, "key", {"code": "concept_code"}, ["SNOMED", "ICD10CM"])
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan and "Generate explode" not in plan
+    assert wide.count() == 3000 and wide.where("code is not null").count() == sum(i % 3 == 1 and i % 1000 >= 300 for i in range(3000))
+
+
+def test_a_hot_key_of_a_large_dimension_is_split(spark, monkeypatch):
+    """A key with a third of the rows: its part is split by the adaptive engine, the dimension is not copied."""
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(0, 90_000, 1, 8).select(F.col("id").alias("fact_id"), F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.col("id") % 500).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        dim = spark.range(500).select(F.col("id").alias("d"), (F.col("id") * 2).alias("v"))
+        df = sizing.attach(facts, dim, [(F.col("k"), "d")])
+        before = df._jdf.queryExecution().optimizedPlan().toString()
+        got = df.groupBy().agg(F.count("*"), F.count("v"), F.sum("v")).first()
+        assert tuple(got) == (90_000, 60_000, 30_000 * 10 + sum(2 * (i % 500) for i in range(90_000) if i % 3 == 1))
+        df.write.format("noop").mode("overwrite").save()
+        assert "Generate explode" not in before and "skew=true" in _final_plan(spark, df)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+
+
+def _final_plan(spark, df):
+    executed = df._jdf.queryExecution()
+    executed.executedPlan().executeCollect()
+    return executed.executedPlan().toString()
