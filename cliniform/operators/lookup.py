@@ -54,7 +54,7 @@ def entries(vmap: DataFrame, cls: str | list[str], keys: dict[str, Column], take
 def lookup(
     df: DataFrame,
     vmap: DataFrame,
-    cls: str,
+    cls: str | Column,
     key: str | Column,
     out: str,
     by: str = SOURCE,
@@ -63,7 +63,7 @@ def lookup(
     how: str = "left",
     take: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Translate ``key`` by one class of the map into column ``out``.
+    """Translate ``key`` by one class of the map into column ``out``; a column of classes names one for each row.
 
     The map key is text, so the fact key is cast to text. ``null_safe`` lets a NULL key find
     the map row with a NULL key. Every key gives one row, so facts are never multiplied.
@@ -72,7 +72,8 @@ def lookup(
     if take is None:
         dim = all_entries(vmap, by).select(F.col("_key").alias(k), F.col("_target").alias(out))
         code = F.coalesce(probe, F.lit(_NULL)) if null_safe else probe
-        res = attach(df, dim, [(F.concat(F.lit(cls + _SEP), code), k)], how, small=small)
+        head = F.lit(cls + _SEP) if isinstance(cls, str) else F.concat(cls, F.lit(_SEP))
+        res = attach(df, dim, [(F.concat(head, code), k)], how, small=small)
     else:
         dim = entries(vmap, cls, {k: F.col(by)}, take, F.col(by).isNotNull())
         res = attach(df, dim, [(probe, k)], how, small=small)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import hhmm, null_of, row_key, since, text_id, to_inches, to_pounds
+from ..functions import hhmm, row_key, since, text_id, to_inches, to_pounds
 from ..operators.lookup import VALUE, lookup
 from ..operators.membership import keep_persons, keep_visits
 from ..operators.sizing import join_spread
@@ -30,25 +30,14 @@ def pair_link(left: DataFrame, links: DataFrame, right: DataFrame, left_id: str,
     return join_spread(left.join(edges, F.col(left_id) == F.col("_f1"), how), right, F.col("_f2"), right_id, how).drop("_f1", "_f2")
 
 
-def widen(signs: DataFrame, links: DataFrame) -> DataFrame:
-    """Vertical signs to one row per visit and time, keeping every combination of values.
-
-    ``signs`` holds person, visit, date, time, kind, value, concept, raw text and id. Each kind is
-    reduced to its distinct values per (visit, time) before it is joined, so copies of a
-    reading never multiply.
-    """
-    at = ["visit_occurrence_id", "measurement_datetime"]
-    df = signs.select("person_id", "measurement_date", *at).distinct()
+AT = ["visit_occurrence_id", "measurement_datetime"]
+SINGLE = ["ht", "wt", "bmi"]
 
-    def joined(base: DataFrame, part: DataFrame) -> DataFrame:
-        renamed = part.withColumnsRenamed({at[0]: "_v", at[1]: "_t"})
-        return base.join(renamed, (F.col(at[0]) == F.col("_v")) & (F.col(at[1]) == F.col("_t")), "left").drop("_v", "_t")
 
-    for kind in ("ht", "wt", "bmi"):
-        part = signs.where(F.col("kind") == kind).select(*at, F.col("value_as_number").alias(kind)).distinct()
-        df = joined(df, part)
+def pressures(signs: DataFrame, links: DataFrame) -> DataFrame:
+    """Systolic readings with the diastolic ones they are linked to, per visit and time."""
     systolic = signs.where(F.col("kind") == "sys").select(
-        *at, F.col("value_as_number").alias("sys"), F.col("measurement_concept_id").alias("sys_concept"),
+        *AT, F.col("value_as_number").alias("sys"), F.col("measurement_concept_id").alias("sys_concept"),
         F.col("measurement_source_value").alias("sys_raw"), "measurement_id")
     diastolic = signs.where(F.col("kind") == "dia").select(
         F.col("visit_occurrence_id").alias("_dv"), F.col("value_as_number").alias("dia"),
@@ -56,34 +45,61 @@ def widen(signs: DataFrame, links: DataFrame) -> DataFrame:
     pairs = pair_link(systolic, links, diastolic, "measurement_id", "_dia_id", R.MEASUREMENT_DOMAIN)
     # a linked diastolic reading of another visit does not count
     same = F.col("_dv") == F.col("visit_occurrence_id")
-    pairs = pairs.select(*at, "sys", "sys_concept", "sys_raw", F.when(same, F.col("dia")).alias("dia"),
-                         F.when(same, F.col("dia_raw")).alias("dia_raw")).distinct()
-    return joined(df, pairs)
+    return pairs.select(*AT, "sys", "sys_concept", "sys_raw", F.when(same, F.col("dia")).alias("dia"),
+                        F.when(same, F.col("dia_raw")).alias("dia_raw"))
+
+
+def widen(signs: DataFrame, links: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """Vertical signs to one row per visit and time, keeping every combination of values.
+
+    ``signs`` holds person, visit, date, time, kind, value, concept, raw text and id. One aggregation by
+    (visit, time) gathers the different values of every kind, so copies of a reading never multiply; the combinations
+    are the sets exploded one after the other. ``extra`` (visit, time and more columns) is one more such set.
+    Signs without a visit or time stand alone, without values.
+    """
+    lone = F.col(AT[0]).isNull() | F.col(AT[1]).isNull()
+    who = ["person_id", "measurement_date"]
+    sets = {"_who": who, **{kind: [kind] for kind in SINGLE}, "_bp": ["sys", "sys_concept", "sys_raw", "dia", "dia_raw"]}
+    # a struct is not NULL, so that a missing value is one of the values
+    parts = signs.where(~lone).select(*AT, F.struct(*who).alias("_who"), *[
+        F.when(F.col("kind") == kind, F.struct(F.col("value_as_number").alias(kind))).alias(kind) for kind in SINGLE])
+    others = {"_bp": pressures(signs, links)} | ({} if extra is None else {"_extra": extra})
+    for name, frame in others.items():
+        sets[name] = [c for c in frame.columns if c not in AT]
+        parts = parts.unionByName(frame.where(~lone).select(*AT, F.struct(*sets[name]).alias(name)), allowMissingColumns=True)
+    df = parts.groupBy(*AT).agg(*[F.collect_set(name).alias(name) for name in sets])
+    for name in sets:
+        df = df.withColumn(name, F.explode(name) if name == "_who" else F.explode_outer(name))
+    wide = df.select(*AT, *[F.col(f"{name}.{c}").alias(c) for name, cols in sets.items() for c in cols])
+    return wide.unionByName(signs.where(lone).select(*who, *AT).distinct(), allowMissingColumns=True)
+
+
+#: Per tobacco question: its class in the map and its output.
+QUESTIONS = {R.TOBACCO: ("tobacco", "tobacco"), R.TOBACCO_TYPE: ("tobacco type", "tobacco_type"), R.SMOKING: ("smoking", "smoking")}
 
 
 def tobacco_answers(study: Study) -> DataFrame:
-    """Tobacco answer with the linked tobacco type and smoking answers, per visit and time."""
-    observation, vmap = study["observation"], study.value_map
-
-    def asked(question: int, cls: str, out: str, cohort_only: bool) -> DataFrame:
-        rows = observation.where(F.col("observation_concept_id") == question)
-        if cohort_only:
-            rows = rows.where(since("observation_date", study.floor))
-            rows = keep_visits(keep_persons(rows, study.cohort), study.cohort)
+    """Tobacco answer with the linked tobacco type and smoking answers, per visit and time.
+
+    Type and smoking share a scan, the cohort tests and one join with the map, each question naming its class.
+    """
+    question = F.col("observation_concept_id")
+
+    def asked(questions: list[int], test: Column | None = None) -> DataFrame:
+        rows = study["observation"].where(question.isin(questions))
+        if test is not None:
+            rows = keep_visits(keep_persons(rows.where(test), study.cohort), study.cohort)
+        cls = F.coalesce(*[F.when(question == q, F.lit(QUESTIONS[q][0])) for q in questions])
         # the map decides membership, as an inner join would
-        return lookup(rows, vmap, cls, "value_as_concept_id", out, by=VALUE, default="OT", how="inner")
+        return lookup(rows, study.value_map, cls, "value_as_concept_id", "_answer", by=VALUE, default="OT", how="inner")
 
-    tobacco = asked(R.TOBACCO, "tobacco", "tobacco", False).select(
-        F.col("visit_occurrence_id").alias("_ov"), F.col("observation_datetime").alias("_ot"), "observation_id", "tobacco")
-    kind = asked(R.TOBACCO_TYPE, "tobacco type", "tobacco_type", True).select(
-        F.col("observation_id").alias("_type_id"), "tobacco_type")
-    smoking = asked(R.SMOKING, "smoking", "smoking", True).select(F.col("observation_id").alias("_smoke_id"), "smoking")
+    tobacco = asked([R.TOBACCO]).select(F.col("visit_occurrence_id").alias("_ov"), F.col("observation_datetime").alias("_ot"), "observation_id", F.col("_answer").alias("tobacco"))
+    linked = asked([R.TOBACCO_TYPE, R.SMOKING], since("observation_date", study.floor))
+    # type and smoking answers are different observations: one relation serves both, and one join of the links
+    answers = linked.select(F.col("observation_id").alias("_answer_id"), *[F.when(question == q, F.col("_answer")).alias(out) for q, (_, out) in QUESTIONS.items() if q != R.TOBACCO])
     edges = study["fact_relationship"].select(F.col("fact_id_1").alias("_f1"), F.col("fact_id_2").alias("_f2"))
     df = tobacco.join(edges, F.col("observation_id") == F.col("_f1"), "left")
-    # type and smoking answers are different observations: one relation serves both, and one join of the links
-    answers = kind.select(F.col("_type_id").alias("_answer"), "tobacco_type", null_of("string").alias("smoking")).unionByName(
-        smoking.select(F.col("_smoke_id").alias("_answer"), null_of("string").alias("tobacco_type"), "smoking"))
-    df = join_spread(df, answers, F.col("_f2"), "_answer", "left")
+    df = join_spread(df, answers, F.col("_f2"), "_answer_id", "left")
     return df.select("_ov", "_ot", "tobacco", "tobacco_type", "smoking").distinct()
 
 
@@ -100,10 +116,9 @@ def cohort_signs(study: Study) -> DataFrame:
 def vital(study: Study) -> DataFrame:
     # six branches read the signs, each one kind: they are written once, one folder per kind
     signs = staged(cohort_signs(study), "signs", by="kind")
-    wide = widen(signs, study["fact_relationship"])
-    wide = wide.where(F.coalesce("ht", "wt", "dia", "sys", "bmi").isNotNull())
-    df = wide.join(tobacco_answers(study), (F.col("visit_occurrence_id") == F.col("_ov"))
-                   & (F.col("measurement_datetime") == F.col("_ot")), "left")
+    answers = tobacco_answers(study).withColumnsRenamed({"_ov": AT[0], "_ot": AT[1]})
+    wide = widen(signs, study["fact_relationship"], answers)
+    df = wide.where(F.coalesce("ht", "wt", "dia", "sys", "bmi").isNotNull())
     df = lookup(df, study.value_map, "BP Position", "sys_concept", "bp_position", default="OT")
     done = df.select(
         F.left("bp_position", F.lit(2)).alias("bp_position"), F.col("dia").alias("diastolic"),
