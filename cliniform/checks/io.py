@@ -17,7 +17,7 @@ from ..sources.model import TABLES, conform, empty
 from ..sources.readers import COMPLAINT_MAP, VALUE_MAP, or_empty, read_map, read_ranges
 from ..sources.stage import stage_root
 from ..sources.study import Study
-from ..sources.writers import insert, run_log, seed_if_empty, stage_counts, write_csv, write_table
+from ..sources.writers import insert, insert_sorted, run_log, seed_if_empty, stage_counts, write_csv, write_table
 from .registry import case
 from .targets import _HARVEST, NAMES, blank
 
@@ -67,7 +67,7 @@ ORDER_COLUMNS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_or
 @case("sink_csv", "select o_orderkey, o_custkey, o_orderstatus, o_orderpriority from orders")
 def _csv(s: Study) -> DataFrame:
     names = [c.split(" ")[0] for c in ORDER_COLUMNS.split(", ")]
-    path = write_csv(s["orders"].select(*names), folder(s, "orders_csv"), 4)
+    path = write_csv(s["orders"].select(*names), folder(s, "orders_csv"))
     return s["orders"].sparkSession.read.option("header", True).schema(ORDER_COLUMNS).csv(path)
 
 
@@ -76,6 +76,27 @@ case("sink_insert", "select " + blank("provider", providerid="s_suppkey", provid
                      "provider", s.site, ["providerid", "provider_sex"]))
 
 
+_OFFERED = """select case when s_suppkey % 7 = 0 then null else s_suppkey::varchar end as providerid, case when s_suppkey % 3 = 0 then s_name else 'M' end as provider_sex,
+    case when s_suppkey % 5 = 0 then 'x' || s_suppkey else s_suppkey::varchar end as provider_npi from supplier"""
+
+
+@case("sink_rejects", f"""with offered as ({_OFFERED}), named as (select coalesce(providerid, '~') as row_key, * from offered)
+    select row_key, 'providerid' as column_name, 'required' as reason, null as raw_value from named where providerid is null
+    union all select row_key, 'provider_sex', 'width', provider_sex from named where length(provider_sex) > 2
+    union all select row_key, 'provider_npi', 'type', provider_npi from named where try_cast(provider_npi as decimal(20, 0)) is null
+    union all select providerid, 'accepted', provider_sex, provider_npi from offered
+        where providerid is not null and length(provider_sex) <= 2 and try_cast(provider_npi as decimal(20, 0)) is not null""")
+def _rejects(s: Study) -> DataFrame:
+    """What an insert refuses, value by value with its reason, and the rows it takes."""
+    key = F.col("s_suppkey")
+    offered = s["supplier"].select(
+        F.when(key % 7 != 0, fn.text_id("s_suppkey")).alias("providerid"), F.when(key % 3 == 0, F.col("s_name")).otherwise("M").alias("provider_sex"),
+        F.when(key % 5 == 0, fn.text_id("s_suppkey", "x")).otherwise(fn.text_id("s_suppkey")).alias("provider_npi"))
+    taken, refused = insert_sorted(offered, "provider", s.site)
+    return refused.unionByName(taken.select(F.col("providerid").alias("row_key"), F.lit("accepted").alias("column_name"), F.col("provider_sex").alias("reason"),
+                                            F.col("provider_npi").cast("string").alias("raw_value")))
+
+
 @case("sink_append_two", "select " + blank("provider", providerid="s_suppkey", provider_sex="'M'") + " from supplier union all select "
       + blank("provider", providerid="'c' || c_custkey", provider_sex="'F'") + " from customer")
 def _append(s: Study) -> DataFrame:

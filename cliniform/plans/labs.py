@@ -141,9 +141,10 @@ def lab_result(study: Study) -> DataFrame:
     rows = study["measurement"].where(
         (F.col("measurement_type_concept_id") == L.LAB_RECORD_TYPE) & (F.col("measurement_concept_id") > 0)
         & since("measurement_date", study.floor))
-    df = keep_visits(rows, study.cohort)
-    df = concept_lookup(df, concept, "measurement_concept_id", {"lab_loinc": "concept_code", "raw_lab_name": "concept_name"},
+    # the dictionary drops all that is no lab test before rows move for the visit test
+    df = concept_lookup(rows, concept, "measurement_concept_id", {"lab_loinc": "concept_code", "raw_lab_name": "concept_name"},
                         ["LOINC"], lab_test, how="inner")
+    df = keep_visits(df, study.cohort)
     df = concept_lookup(df, concept, "measurement_source_concept_id", {"raw_lab_code": "concept_code"}, ["LOINC"], lab_test)
     df = concept_lookup(df, concept, "operator_concept_id", {"_operator": "concept_name"},
                         where=F.col("domain_id") == "Meas Value Operator")

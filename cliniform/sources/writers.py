@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .model import TABLES, conform, misfits
+from .stage import staged
 
 
 def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> str:
@@ -50,6 +51,39 @@ def insert(df: DataFrame, table: str, site: str, columns: list[str]) -> DataFram
     return conform(df.select(*columns), table, site)
 
 
+def rejections(df: DataFrame, table: str) -> Column:
+    """Values of a row that a database would refuse to insert: an array of (column, reason, raw value).
+
+    The reasons are ``required`` (NULL where a value must be), ``type`` (no value of the declared type) and ``width``
+    (a text longer than declared).
+    """
+    lost = misfits(df, table)
+    tests = []
+    for f in TABLES[table].fields:
+        value = F.col(f.name) if f.name in df.columns else F.lit(None)
+        if f.required:
+            tests.append((value.isNull(), f.name, "required", value))
+        if f.name in lost:
+            tests.append((lost[f.name], f.name, "type", value))
+        if f.width and f.name in df.columns:
+            tests.append((F.length(value.cast("string")) > f.width, f.name, "width", value))
+    found = [F.when(test, F.struct(F.lit(name).alias("column_name"), F.lit(reason).alias("reason"), value.cast("string").alias("raw_value"))) for test, name, reason, value in tests]
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
+def insert_sorted(df: DataFrame, table: str, site: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows, shaped for the table, and the refused values of all others, with the row's key as text.
+
+    A database stops at the first such value. Here one pass over ``df`` sorts its rows and writes them once; both
+    results are read from there, so that they always add up.
+    """
+    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) if c in df.columns else F.lit("~") for c in TABLES[table].key])
+    sorted_ = staged(df.withColumns({"_row_key": key, "_refused": rejections(df, table)}), f"{table}_offered")
+    taken = conform(sorted_.where(F.size("_refused") == 0), table, site)
+    refused = sorted_.where(F.size("_refused") > 0).select(F.col("_row_key").alias("row_key"), F.explode("_refused").alias("_r")).select("row_key", "_r.*")
+    return taken, refused
+
+
 def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     """Count the rows of a stage while some later action runs over it."""
     seen = Observation(stage)

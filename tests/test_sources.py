@@ -115,3 +115,12 @@ def test_ranges_cover_every_row_once(spark):
         df = spark.createDataFrame([(k,) for k in keys], "k long")
         for n in (1, 3, 16):
             assert sorted(str(r.k) for r in read_ranges(df, "k", n).collect()) == sorted(map(str, keys))
+
+
+def test_an_insert_is_sorted_into_taken_and_refused(spark):
+    from cliniform.sources.writers import insert_sorted
+    rows = [("a", "M", "12"), (None, "M", "12"), ("b", "XYZ", "no number"), ("c", None, None), ("c", "F", "123456789012345678901")]
+    taken, refused = insert_sorted(spark.createDataFrame(rows, "providerid string, provider_sex string, provider_npi string"), "provider", "s")
+    assert sorted((r.providerid, r.provider_sex, r.provider_npi, r.site) for r in taken.collect()) == [("a", "M", 12, "s"), ("c", None, None, "s")]
+    assert sorted((r.row_key, r.column_name, r.reason, r.raw_value) for r in refused.collect()) == [
+        ("b", "provider_npi", "type", "no number"), ("b", "provider_sex", "width", "XYZ"), ("c", "provider_npi", "type", "123456789012345678901"), ("~", "providerid", "required", None)]
