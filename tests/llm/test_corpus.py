@@ -232,6 +232,9 @@ def test_markup():
                 "<article class='comment'>c</article></div><div id='cookieNotice'>k</div><div class='adBox top'>z</div>", None) == "T text of post"
     assert text("plain &lt;text&gt;", None) == "plain <text>" and text("", None) == text(None, None) == ""
     assert text("<div>" * 5000 + "deep" + "</div>" * 5000 + "<p>after", None) == "deep after"
+    assert text("<article><p title=it's>Hello</p><p>more text it's here</p><p>end</p></article>", None) == "Hello more text it's here end"
+    assert text('<p class="x>Hello</p>', None) == "Hello" and text("<p title='a > b' data-x=\"1>2\">in</p>", None) == "in"
+    assert text("<p a=b=c \"odd\" it's>kept</p><p x = 'q'>two", None) == "kept two"
     assert text("<script>var a='</p>'</script><p>x<!-- no --> y", None) == "x y"
 
 
