@@ -1,16 +1,18 @@
 """Secrets in texts: fixed patterns, and a linear-chain conditional random field over tokens.
 
 Patterns find the base spans. The field tags every token of a text as begin, inside or outside of a
-secret; it learns from a bounded sample of texts whose tokens are tagged by the base spans, and from the
-same texts with other values in their place and the key words before them masked, so that shape and
-neighbours carry the tag where no pattern matches. A tagged run that touches no base span is added as a span of kind ``crf``.
+secret; it learns from a bounded sample of texts whose tokens are tagged by the base spans, from the
+same texts with other values in their place and the key words before them masked, and from texts without a
+base span, every second one also with an invented value put into it, so that shape and neighbours carry
+the tag where no pattern matches. The best path is the verdict: each of its runs is added as a span of
+kind ``crf``, unless it lies within base spans (a run that reaches beyond them is added whole).
 
 Decoding is exact: tokens whose outside score leads by more than any transitions can make good are
 outside on every best path, so Viterbi runs on the stretches between such tokens only.
 
 Defined cases: a null text counts as empty and has no spans; texts without a token are skipped; a corpus
-without any base span gives a field that tags nothing; repeated rows give equal rows; an empty table
-gives no rows.
+without any base span is judged by invented values alone, one without texts of ``LEAST_PLANTED`` tokens gives a
+field that tags nothing; repeated rows give equal rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.stage import staged
 from .bpe import Memo
 from .common import appended, free_name, table
 
@@ -36,9 +39,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so asking for the length
 KINDS = ("assign", "access", "hex", "crf")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
-#: Most texts of either sort that the field is fitted to, and tokens on either side of a span (documented bounds).
+#: Most texts of either sort that the field is fitted to, characters of such a text, and tokens on either side of
+#: a span (documented bounds of the fit; every whole text is scanned).
 TRAIN_TEXTS = 1500
+TRAIN_LENGTH = 20_000
 CONTEXT = 12
+#: Least tokens of a text that a value is put into for the fit.
+LEAST_PLANTED = 8
 SEED = 3
 #: Hashed features, states: outside, begin, inside.
 FEATURES = 1 << 14
@@ -48,8 +55,6 @@ EPOCHS = 40
 ILLEGAL = -50.0
 #: Tokens a worker keeps the class of.
 MEMO = 30_000
-#: Least mean lead over outside, in log odds, of the tokens of an added span.
-LEAD = 4.0
 
 _TOKENS = re.compile(r"[A-Za-z0-9+/_\-]+|[^\W\d_]+|[^\w\s]|\w")
 _KEY = re.compile(r"pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|key|credentials?|auth(?:orization)?|bearer|private|access", re.I | re.A)
@@ -230,6 +235,10 @@ def windows(text: str, rng: np.random.Generator) -> list[tuple[list[str], list[i
     if not spans:
         at = int(rng.integers(0, len(tokens)))
         spans = [(at, at)]
+        if len(tokens) >= LEAST_PLANTED and rng.random() < 0.5:
+            value, marks = planted(rng)
+            a, b = max(0, at - CONTEXT), min(len(tokens), at + CONTEXT)
+            out.append((tokens[a:at] + value + tokens[at:b], [0] * (at - a) + marks + [0] * (b - at), text))
     for low, high in spans[:8]:
         a, b = max(0, low - CONTEXT), min(len(tokens), high + CONTEXT, low + 4 * CONTEXT)
         out.append((tokens[a:b], tags[a:b], text))
@@ -246,10 +255,20 @@ def invented(rng: np.random.Generator) -> str:
     letters = ("0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789",
                "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_")
     chosen = letters[int(rng.integers(0, len(letters)))]
-    prefix = "".join(rng.choice(list("abcdefghijkprstx"), 3)) + "_" if rng.random() < 0.3 else ""
+    prefix = "".join("".join(rng.choice(list("abcdefghijklmnoprstvx"), int(rng.integers(2, 6)))) + "_-"[int(rng.random() < 0.3)]
+                     for _ in range(int(rng.integers(1, 3)))) if rng.random() < 0.3 else ""
     return prefix + "".join(rng.choice(list(chosen), int(rng.integers(16, 49))))
 
 
+def planted(rng: np.random.Generator) -> tuple[list[str], list[int]]:
+    """Tokens and tags of an invented value, now and then of several parts, with or without marks around it."""
+    value = [invented(rng)]
+    while rng.random() < 0.2 and len(value) < 7:
+        value += [".:="[int(rng.integers(0, 3))], invented(rng)]
+    before, behind = [([], []), ([":"], []), (["="], []), (['"'], ['"']), (["("], [")"]), ([], ["."]), ([], [","])][int(rng.integers(0, 7))]
+    return [*before, *value, *behind], [0] * len(before) + [1] + [2] * (len(value) - 1) + [0] * len(behind)
+
+
 def fitted(texts: list[str]) -> Field:
     """Maximise the conditional likelihood of the windows' tags by Adagrad over padded batches."""
     rng = np.random.default_rng(SEED)
@@ -334,14 +353,22 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 # ---- scanning -------------------------------------------------------------------------------------
 
+def covered(a: int, b: int, base: list[Span]) -> bool:
+    """Whether the base spans, which are in order of their starts, hold all of a run."""
+    for x, _, y in base:
+        if x > a:
+            break
+        a = max(a, y)
+    return a >= b
+
+
 def spans_of(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans, of a whole text."""
     base = base_spans(text)
     tokens = _TOKENS.findall(text)
     if not tokens:
         return base, base
-    emissions = field.emissions(tokens, text)
-    tags = field.tags(emissions)
+    tags = field.tags(field.emissions(tokens, text))
     if not tags.any():
         return base, base
     places = [(m.start(), m.end()) for m in _TOKENS.finditer(text)]
@@ -354,26 +381,28 @@ def spans_of(text: str, field: Field) -> tuple[list[Span], list[Span]]:
         while end < len(tags) and tags[end] == 2:
             end += 1
         a, b = places[t][0], places[end - 1][1]
-        lead = (emissions[t:end, 1:].max(1) - emissions[t:end, 0]).mean()
-        if lead >= LEAD and b - a >= LEAST_ASSIGN and not any(x < b and a < y for x, _, y in base):
+        if not covered(a, b, base):
             added.append((a, 3, b))
         t = end
     return base, sorted(base + added)
 
 
-def trained(docs: DataFrame, text: str = "text", most: int = TRAIN_TEXTS) -> Field:
-    """Fit the field to at most ``most`` texts with a base span and as many without, chosen by hash."""
+def trained(docs: DataFrame, text: str = "text", most: int = TRAIN_TEXTS, longest: int = TRAIN_LENGTH) -> Field:
+    """Fit the field to at most ``most`` texts with a base span and as many without, of at most ``longest``
+    characters, chosen by hash.
+
+    The patterns run once over the texts, whose hashes are written with what they found; the texts of the chosen hashes
+    (at most twice ``most``, so they are broadcast) are then read in a second scan that only hashes.
+    """
     body = F.col(f"`{text}`")
-    hit = body.rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
-    rows = docs.select(body.alias("t"), F.coalesce(hit, F.lit(False)).alias("hit"), F.xxhash64(body, F.lit(SEED)).alias("h")).where("length(t) between 1 and 20000")
-    texts: list[str] = []
-    for side in (True, False):
-        chosen = rows.where(F.col("hit") == side).select("h").distinct().orderBy("h").limit(most)
-        edge = chosen.agg(F.max("h")).first()[0]
-        if edge is not None:
-            got = rows.where((F.col("hit") == side) & (F.col("h") <= edge)).groupBy("h").agg(F.min("t").alias("t")).limit(most).collect()
-            texts += [r.t for r in sorted(got, key=lambda r: (r.h, r.t))]
-    return fitted(texts)
+    hit = F.coalesce(body.rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"), F.lit(False))
+    rows = docs.where(F.length(body).between(1, longest)).select(body.alias("t"), F.xxhash64(body, F.lit(SEED)).alias("h"))
+    found = docs.where(F.length(body).between(1, longest)).select(F.xxhash64(body, F.lit(SEED)).alias("h"), hit.alias("hit"))
+    marked = staged(found.distinct(), "marked")
+    sides = [marked.where(F.col("hit") == side).orderBy("h").limit(most) for side in (True, False)]
+    chosen = sides[0].unionByName(sides[1])
+    got = rows.join(F.broadcast(chosen), "h").groupBy("hit", "h").agg(F.min("t").alias("t")).collect()
+    return fitted([r.t for r in sorted(got, key=lambda r: (not r.hit, r.h))])
 
 
 def scanned(docs: DataFrame, field: Field, text: str = "text", out: str = "secret_spans") -> DataFrame:

@@ -202,11 +202,42 @@ def test_field_learns_and_decodes_exactly(documents):
     for e in np.random.default_rng(1).normal(0, 3, (200, 30, 3)):
         assert (field.tags(e) == secrets.viterbi(e, field.move, False)).all()
     found = secrets.spans_of("please use my credential 8fj3kd9x0s8dk3j4kf9d7s6a5q for it", field)[1]
-    assert [s[1] for s in found] in ([3], [])
+    assert [s[1] for s in found] == [3]
     clean = [secrets.spans_of(t, field) for t in texts]
     assert sum(len(a) - len(b) for b, a in clean) == 0
 
 
+PHRASES = ["please use my credential {} for it", "Authorization: Bearer {}", "export AWS_KEY={}", "pwd={}", "sk_live_{}", "the login is {}.", '"client_key": "{}",', "{}"]
+
+
+def test_planted_values_are_found_and_clean_texts_left_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    field = secrets.trained(docs)
+    texts = sorted({r.text for r in docs.collect() if r.text})
+    clean = [t for t in texts if not secrets.base_spans(t)]
+    assert sum(bool(secrets.spans_of(t, field)[1]) for t in clean) <= len(clean) // 100
+    rng = np.random.default_rng(8)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    for phrase in PHRASES:
+        hits = 0
+        for t in clean[:100]:
+            value, words = "".join(rng.choice(letters, 28)), t.split(" ")
+            text = " ".join([*words[:len(words) // 2], phrase.format(value), *words[len(words) // 2:]])
+            at = text.index(value)
+            base, spans = secrets.spans_of(text, field)
+            hits += any(a <= at and b >= at + 28 for a, _, b in spans)
+            assert set(base) <= set(spans)
+            assert value not in secrets._masked(text, spans, "[secret]") or not any(a <= at and b >= at + 28 for a, _, b in spans)
+        assert hits >= 90, phrase
+
+
+def test_runs_beyond_base_spans_are_kept():
+    base = [(0, 0, 10), (8, 2, 20), (30, 0, 40)]
+    assert secrets.covered(2, 20, base) and secrets.covered(31, 40, base) and not secrets.covered(2, 21, base)
+    assert not secrets.covered(19, 31, base) and not secrets.covered(22, 25, base) and not secrets.covered(0, 1, [])
+    assert secrets._masked("k=abcdef$ghi end", [(0, 0, 8), (2, 3, 12)], "*") == "* end"
+
+
 def test_secrets_of_odd_rows(spark, odd, none, tmp_path):
     folder = saved(spark, tmp_path, documents=(DOC, [(i, t, None, None, None) for i, t in enumerate([*HARD, None])]))
     for r in QUERIES["op3_secrets"](spark, folder).collect():
