@@ -14,10 +14,11 @@ from ..operators.dedupe import union_all
 from ..operators.lookup import CLASS
 from ..plans import administration
 from ..sources.model import TABLES, conform, empty
-from ..sources.readers import COMPLAINT_MAP, VALUE_MAP, or_empty, read_map, read_ranges
-from ..sources.stage import stage_root
+from ..sources.readers import COMPLAINT_MAP, VALUE_MAP, or_empty, read_map
+from ..sources.audit import StageAudit
+from ..sources.stage import stage_root, staged
 from ..sources.study import Study
-from ..sources.writers import insert, insert_sorted, run_log, seed_if_empty, stage_counts, write_csv, write_table
+from ..sources.writers import insert, insert_sorted, run_log, seed_if_empty, stage_counts, write_csv, write_ranged, write_table
 from .registry import case
 from .targets import _HARVEST, NAMES, blank
 
@@ -28,7 +29,7 @@ def folder(s: Study, name: str) -> str:
 
 
 case("src_range_scan", "select o_orderkey, o_custkey, o_totalprice from orders")(
-    lambda s: read_ranges(s["orders"], "o_orderkey", 16).select("o_orderkey", "o_custkey", "o_totalprice"))
+    lambda s: write_ranged(s["orders"].select("o_orderkey", "o_custkey", "o_totalprice"), folder(s, "orders_ranged"), "o_orderkey", 16))
 case("src_plain_scan", "select * from nation")(lambda s: s["nation"])
 
 
@@ -109,7 +110,17 @@ def _append(s: Study) -> DataFrame:
 
 STAGES = ["visit_occurrence", "measurement", "observation"]
 COUNTS = " union all ".join(f"select '{t}' as stage, count(*) as row_count from {t}" for t in STAGES)
-case("row_metrics", COUNTS)(lambda s: stage_counts({t: s[t] for t in STAGES}))
+
+
+@case("row_metrics", COUNTS)
+def _metrics(s: Study) -> DataFrame:
+    """Rows of every stage, counted while the visits of all stages are gathered and written."""
+    audit = StageAudit()
+    visits = [audit.watch(s[t].select("visit_occurrence_id"), t) for t in STAGES]
+    staged(union_all(*visits).distinct(), "visits_of_stages")
+    return audit.frame(s.value_map.sparkSession)
+
+
 case("run_log", f"""select timestamp '2024-06-01 00:00:00' as datetime, 'load ' || stage || ': ' || row_count || ' rows' as operation, 'target' as model,
     '6.1.0' as model_version, null::varchar as dms_version, '0.6.1' as dmsa_version from ({COUNTS})""")(
     lambda s: run_log(stage_counts({t: s[t] for t in STAGES}), datetime(2024, 6, 1), "target", "6.1.0", dmsa_version="0.6.1"))

@@ -93,7 +93,8 @@ def gestational_age(study: Study) -> DataFrame:
 
 def obs_clin(study: Study) -> DataFrame:
     """Each branch has its own id letter and unique source keys, so the union needs no distinct."""
-    df = union_all(_clinical_measurements(study), vaping(study), gestational_age(study))
+    branches = {"measurements": _clinical_measurements(study), "vaping": vaping(study), "gestational age": gestational_age(study)}
+    df = union_all(*[study.watch(branch, f"obs_clin: {name}") for name, branch in branches.items()])
     return conform(df.withColumns({
         "obsclin_abn_ind": F.left("obsclin_abn_ind", F.lit(2)),
         "obsclin_code": F.left("obsclin_code", F.lit(18)),

@@ -115,9 +115,9 @@ def cohort_signs(study: Study) -> DataFrame:
 
 def vital(study: Study) -> DataFrame:
     # six branches read the signs, each one kind: they are written once, one folder per kind
-    signs = staged(cohort_signs(study), "signs", by="kind")
-    answers = tobacco_answers(study).withColumnsRenamed({"_ov": AT[0], "_ot": AT[1]})
-    wide = widen(signs, study["fact_relationship"], answers)
+    signs = staged(study.watch(cohort_signs(study), "vital: signs of the cohort"), "signs", by="kind")
+    answers = study.watch(tobacco_answers(study), "vital: tobacco answers").withColumnsRenamed({"_ov": AT[0], "_ot": AT[1]})
+    wide = study.watch(widen(signs, study["fact_relationship"], answers), "vital: combinations")
     df = wide.where(F.coalesce("ht", "wt", "dia", "sys", "bmi").isNotNull())
     df = lookup(df, study.value_map, "BP Position", "sys_concept", "bp_position", default="OT")
     done = df.select(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,20 +61,18 @@ def read_plain(spark: SparkSession, url: str, table: str, properties: dict[str,
     return spark.read.jdbc(url, table, properties=dict(properties or {}))
 
 
-def read_ranges(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """The same split for a file source with an integer key: one scan per key range, each with the range
-    pushed down to the files' own statistics, and no shuffle. As over JDBC the outer ranges are open and
-    rows without a key belong to the first."""
-    low, high = key_bounds(df, key).first()
-    if low is None:
-        return df
-    step = max(1, -(-(high - low + 1) // partitions))
-    cuts = list(range(low + step, high + 1, step))
+def read_between(df: DataFrame, key: str, low: object = None, high: object = None) -> DataFrame:
+    """Rows with ``low <= key < high``; an open end is ``None``, and without a lower end rows without a key belong to it.
+
+    Over files sorted by the key (:func:`~.writers.write_ranged`) the comparison reaches the scan, which skips all row
+    groups outside the range by their own statistics.
+    """
     k = F.col(key)
-    if not cuts:
-        return df
-    parts = [k.isNull() | (k < cuts[0]), *[(k >= a) & (k < b) for a, b in zip(cuts, cuts[1:])], k >= cuts[-1]]
-    return reduce(DataFrame.unionByName, [df.where(p) for p in parts])
+    if low is not None:
+        df = df.where(k >= F.lit(low))
+    if high is not None:
+        df = df.where((k < F.lit(high)) if low is not None else (k.isNull() | (k < F.lit(high))))
+    return df
 
 
 def or_empty(df: DataFrame | None, spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -10,13 +10,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .audit import StageAudit
+
 
 @dataclass(frozen=True)
 class Study:
     """Everything a target table is built from.
 
     ``tables`` gives source tables, ``value_map`` and ``complaint_map`` by name. ``built`` may hold
-    target tables already written; plans that need one use it, and otherwise derive it.
+    target tables already written; plans that need one use it, and otherwise derive it. With an ``audit`` plans count the
+    rows of their stages while they run.
     """
 
     tables: Mapping[str, DataFrame]
@@ -26,6 +29,7 @@ class Study:
     classifier_mode: str = "fixed"
     local_vocabulary: str | None = None
     built: Mapping[str, DataFrame] = field(default_factory=dict)
+    audit: StageAudit | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -49,6 +53,9 @@ class Study:
     def target(self, name: str, build: Callable[[Study], DataFrame]) -> DataFrame:
         return self.built[name] if name in self.built else build(self)
 
+    def watch(self, df: DataFrame, stage: str) -> DataFrame:
+        return df if self.audit is None else self.audit.watch(df, stage)
+
     def with_built(self, **frames: DataFrame) -> Study:
         return replace(self, built={**self.built, **frames})
 

@@ -84,14 +84,23 @@ def insert_sorted(df: DataFrame, table: str, site: str) -> tuple[DataFrame, Data
     return taken, refused
 
 
-def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
-    """Count the rows of a stage while some later action runs over it."""
-    seen = Observation(stage)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def write_ranged(df: DataFrame, path: str, key: str, ranges: int) -> DataFrame:
+    """Write rows as Parquet files of ascending key ranges, each sorted by key, and read them back.
+
+    The ranges are quantiles of the key, so that gaps do not make them uneven; rows of one very frequent key are
+    spread over several files by their hash, rows without a key come first. A later read between two keys
+    (:func:`~.readers.read_between`) opens only the row groups that hold them.
+    """
+    shape = df.schema
+    (df.repartitionByRange(ranges, F.col(key), F.xxhash64(*[F.col(c) for c in df.columns]))
+     .sortWithinPartitions(key).write.mode("overwrite").parquet(path))
+    return df.sparkSession.read.schema(shape).parquet(path)
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Audit frame: one row per named stage with its row count."""
+    """Audit frame of finished tables: one row per name with its row count. A running plan is counted without a scan by
+    :class:`~.audit.StageAudit`.
+    """
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
              for name, df in stages.items()]
     out = parts[0]

@@ -11,7 +11,7 @@ from cliniform.operators import lookup as lk
 from cliniform.operators import membership as mb
 from cliniform.operators import rules, sizing
 from cliniform.operators.dedupe import first_per_key, latest_per_key, nulls_last
-from cliniform.operators.quality import check_columns, check_key, check_reference, drop_orphans
+from cliniform.operators.quality import check_columns, check_key, check_keys, check_reference, drop_orphans
 from cliniform.operators.update import delete_where, set_where, update_from
 from cliniform.plans import labs
 from cliniform.plans.encounters import promote_primary, recover_epidemic_codes
@@ -167,6 +167,17 @@ def test_wide_vitals_keep_every_combination(spark):
     assert rows(widen(signs, links).where("visit_occurrence_id = 8"), "wt") == [(None,)]  # no time: never matches itself
 
 
+def test_keys_by_hash_equal_keys_in_full(spark):
+    """Null parts, keys whose hashes clash, one key with a third of the rows, no rows."""
+    hot = [("h", 1)] * 30 + [(str(i), i % 7) for i in range(60)]
+    tables = {"pairs": [("a", 1), ("a", 1), ("a", None), (None, 1), (None, 1), (None, None)], "unique": [("a", 1), ("b", 1), ("a", 2)], "hot": hot, "none": []}
+    frames = {n: spark.createDataFrame(r, "k string, n int") for n, r in tables.items()}
+    keys = {n: ["k", "n"] for n in tables}
+    for hashed in (F.xxhash64, lambda *c: F.lit(5), lambda *c: F.length(F.coalesce(c[0], F.lit("")))):
+        got = rows(check_keys(frames, keys, hashed), "table_name", "check_name", "column_name", "violations")
+        assert got == [("hot", "key", "k,n", 1), ("none", "key", "k,n", 0), ("pairs", "key", "k,n", 2), ("unique", "key", "k,n", 0)]
+
+
 def test_reports(spark):
     df = spark.createDataFrame([(1, "abc", None), (1, "a", "x"), (2, None, "y")], "k int, t string, r string")
     assert rows(check_key(df, ["k"], "t"), "violations") == [(1,)]

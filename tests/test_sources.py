@@ -4,15 +4,18 @@ from datetime import datetime
 from decimal import Decimal
 from unittest.mock import MagicMock
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cliniform.demo import adapter
 from cliniform.plans.administration import BUILD_ORDER, NEVER_FILLED, build_all, orphan_report
+from cliniform.plans.vitals import cohort_signs
 from cliniform.sources.model import PERSON_CHECKED, REFERENCES, TABLES, conform, empty
-from cliniform.sources.readers import COMPLAINT_MAP, read_map, read_range
+from cliniform.sources.audit import StageAudit
+from cliniform.sources.readers import COMPLAINT_MAP, read_between, read_map, read_range
 from cliniform.sources.stage import CHECKPOINT_DIR, stage_root, staged
-from cliniform.sources.writers import write_audited
+from cliniform.sources.writers import write_audited, write_ranged
 
 
 def test_model_counts():
@@ -91,6 +94,9 @@ def test_whole_build(spark, tmp_path):
     removed = spark.read.parquet(f"{home}/report_orphans")
     assert removed.where("table_name = 'obs_gen'").agg(F.sum("violations")).first()[0] > 0
     assert {r.table_name for r in removed.select("table_name").distinct().collect()} == set(PERSON_CHECKED) - set(NEVER_FILLED)
+    stages = {r.stage: r.row_count for r in spark.read.parquet(f"{home}/report_stages").collect()}
+    assert stages["vital: signs of the cohort"] == cohort_signs(study).count() and stages["vital: combinations"] >= filled["vital"]
+    assert sum(n for s, n in stages.items() if s.startswith("obs_clin")) >= filled["obs_clin"] and stages["obs_clin: measurements"] > 0
     checks = spark.read.parquet(f"{home}/report_integrity")
     assert checks.where("check_name = 'reference'").count() == len(REFERENCES) and checks.where("check_name = 'key'").count() == len(TABLES)
     log = done["version_history"].collect()
@@ -109,12 +115,52 @@ def test_misfits_are_counted_or_stop_the_run(spark, tmp_path):
     assert empty_counts.get("result_num", 0) == 0
 
 
-def test_ranges_cover_every_row_once(spark):
-    from cliniform.sources.readers import read_ranges
-    for keys in ([], [None], [5], [1, 2, 3, 1, None, 100, -7], list(range(50))):
+def test_ranges_cover_every_row_once(spark, tmp_path):
+    for i, keys in enumerate(([], [None], [5], [1, 2, 3, 1, None, 100, -7], list(range(50)))):
         df = spark.createDataFrame([(k,) for k in keys], "k long")
         for n in (1, 3, 16):
-            assert sorted(str(r.k) for r in read_ranges(df, "k", n).collect()) == sorted(map(str, keys))
+            laid = write_ranged(df, str(tmp_path / f"{i}_{n}"), "k", n)
+            assert sorted(str(r.k) for r in laid.collect()) == sorted(map(str, keys))
+            cuts = [None, 0, 3, 40, None]
+            parts = [r.k for low, high in zip(cuts, cuts[1:]) for r in read_between(laid, "k", low, high).collect()]
+            assert sorted(map(str, parts)) == sorted(map(str, keys))
+
+
+def test_ranges_read_their_own_row_groups_only(spark, tmp_path):
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderkey", "o_totalprice")
+    laid = write_ranged(orders.repartition(8, "o_totalprice"), str(tmp_path / "ranged"), "o_orderkey", 16)
+    groups = []
+    for file in sorted((tmp_path / "ranged").glob("*.parquet")):
+        meta = pq.ParquetFile(file).metadata
+        groups += [(meta.row_group(g).column(0).statistics.min, meta.row_group(g).column(0).statistics.max) for g in range(meta.num_row_groups)]
+    groups.sort()
+    assert len(groups) == 16 and all(a[1] < b[0] for a, b in zip(groups, groups[1:]))
+    cuts = [low for low, _ in groups] + [None]
+    for low, high in zip(cuts, cuts[1:]):  # a range between two cuts meets one row group
+        assert sum(a < (high or float("inf")) and b >= low for a, b in groups) == 1
+    one = read_between(laid, "o_orderkey", cuts[3], cuts[4])
+    assert 0 < one.count() < orders.count() / 8
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderkey" in plan and "LessThan(o_orderkey" in plan
+
+
+def test_a_frequent_key_is_spread_over_files(spark, tmp_path):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), "id")
+    write_ranged(df, str(tmp_path / "hot"), "k", 12)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "hot").glob("*.parquet")]
+    assert sum(sizes) == 30_000 and max(sizes) < 6_000
+
+
+def test_stages_are_counted_by_the_action_itself(spark):
+    audit = StageAudit()
+    df = audit.watch(spark.range(10), "all")
+    df = audit.watch(df.where("id >= 4"), "kept")
+    gone = audit.watch(spark.range(5).where("id > 100"), "gone")
+    assert df.union(gone).groupBy((F.col("id") % 2).alias("k")).count().count() == 2
+    assert audit.counts() == {"all": 10, "kept": 6, "gone": 0}
+    assert [tuple(r) for r in audit.frame(spark).collect()] == list(audit.counts().items())
+    with pytest.raises(ValueError, match="twice"):
+        audit.watch(df, "kept")
 
 
 def test_an_insert_is_sorted_into_taken_and_refused(spark):
