@@ -1,8 +1,8 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Each source is laid out as one line of words and packed into blocks of ``block`` words. A source whose
-target is ``t`` words gets the slots whose words come nearest to ``t``. Every slot falls into a pseudorandom output
-shard, so a shard's counts of the sources are multinomial draws; a slot's block is its place in a
+target is ``t`` words gets the slots whose words come nearest to ``t``. The totals are fixed by the
+targets, not drawn: each slot has a hashed ``shard``, which nothing here reads; a slot's block is its place in a
 pseudorandom permutation of the source's blocks, one permutation per round through the source, so a
 block is used at most once per round. Slots and blocks meet in an equi-join on (source, block).
 

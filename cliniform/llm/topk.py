@@ -3,10 +3,10 @@
 Dimensions are the terms, an integer vector's entries its scores. Queries and candidates are dealt over a
 grid of cells by hashes, each cell holding one group of queries and one shard of candidates of bounded
 size. In a cell every term has the largest product that any candidate of the shard can reach with the
-query. Terms are taken in falling order of that bound; once k candidates are known, the terms whose
-bounds together stay below the k-th score are non-essential: the postings of the others are traversed,
-and only candidates that could still reach the k-th score are probed for the rest. The k best of each
-shard are merged per query.
+query. Terms are taken in falling order of that bound. This is a dense variant: there are no postings and
+no split of essential terms; every candidate is scored on the first terms, and only those whose partial sum
+and the bounds of the rest could still reach the k-th score are scored in full. The k best of each shard
+are merged per query.
 
 Defined cases: a row without an id, or whose vector is null, empty or holds a null, a NaN or an infinity takes no part; vectors
 of other lengths count as padded with zeros; candidates that carry the query's own id are left out, so
