@@ -9,7 +9,7 @@ all fixed bits, which bounds every group whatever the data.
 A group is searched in its task: its members are sorted by Gray rank, so neighbours share long bit patterns;
 a node of the index covers a run of members and stores the mask of bits on which all of them agree and
 their values, upper nodes the runs of runs. Two nodes whose shared masks differ in more than ``d`` bits are
-dropped with all pairs below them; two nodes that are already linked are too. Each group returns one
+dropped with all pairs below them; two nodes whose members are of one class already are too. Each group returns one
 row per member that names its local class, never the pairs.
 
 The classes of all groups form a sparse graph whose components are found by rounds of star
@@ -22,8 +22,6 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -45,6 +43,8 @@ FREE = 64 - 16 - 12 - 9 - 6
 #: Members of a leaf of the index, and children of an upper node.
 LEAF = 16
 FAN = 4
+#: Pairs of nodes compared at a time.
+PAIRS = 1 << 12
 #: Shingles whose bits are counted at a time.
 STEP = 1 << 16
 
@@ -146,18 +146,6 @@ class GrayIndex:
                 break
             step = FAN
 
-    def pairs(self, distance: int) -> Iterator[tuple[int, int]]:
-        """Pairs of leaves (first not after second) whose shared patterns differ in at most ``distance`` bits."""
-        left = right = np.zeros(1, np.int64)
-        for level in range(len(self.levels) - 1, -1, -1):
-            mask, value = self.levels[level]
-            if level < len(self.levels) - 1:
-                left, right = self._children(left, right, len(mask))
-            differ = np.bitwise_count((value[left] ^ value[right]) & mask[left] & mask[right])
-            near = differ <= distance
-            left, right = left[near], right[near]
-        return zip(left.tolist(), right.tolist(), strict=True)
-
     @staticmethod
     def _children(left: np.ndarray, right: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
         a = (left[:, None, None] * FAN + np.arange(FAN)[None, :, None]).repeat(FAN, 2).reshape(-1)
@@ -165,31 +153,75 @@ class GrayIndex:
         real = (a <= b) & (b < count)
         return a[real], b[real]
 
+    def _uniform(self, own: np.ndarray) -> list[np.ndarray]:
+        """Per level and node the class of all its members, -1 where they are of several."""
+        out, low, high, step = [], own, own, LEAF
+        for _ in self.levels:
+            at = np.arange(0, len(low), step)
+            low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
+            out.append(np.where(low == high, low, -1))
+            step = FAN
+        return out
+
+    def _near(self, left: np.ndarray, right: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the linked members of pairs of leaves."""
+        inside = np.arange(LEAF)
+        a, b = left[:, None] * LEAF + inside, right[:, None] * LEAF + inside
+        last = len(self.members) - 1  # the last leaf may be short: its last member fills it
+        a, b = np.minimum(a, last), np.minimum(b, last)
+        pair, x, y = np.nonzero(np.bitwise_count(self.members[a][:, :, None] ^ self.members[b][:, None, :]) <= distance)
+        return a[pair, x], b[pair, y]
+
     def classes(self, distance: int) -> np.ndarray:
-        """Place of each member's local class: the least place among the members it is linked to by chains."""
-        parent = list(range(len(self.members)))
+        """Place of each member's local class: the least place among the members it is linked to by chains.
+
+        Neighbours in Gray order are linked first, so the runs of a dense group start as one class each. Pairs of
+        nodes are then walked depth first in blocks of ``PAIRS``; a pair goes, with all pairs below it, if its shared
+        patterns differ in more than ``distance`` bits or if the members of both are of one class already.
+        """
+        count = len(self.members)
+        start = np.append(True, np.bitwise_count(self.members[1:] ^ self.members[:-1]) > distance)
+        own = np.maximum.accumulate(np.where(start, np.arange(count), 0))
+        uniform, parent, walked = self._uniform(own), {}, 0
 
         def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
             return x
 
-        whole: dict[int, bool] = {}
-        for a, b in self.pairs(distance):
-            at, to = a * LEAF, b * LEAF
-            one, two = self.members[at:at + LEAF], self.members[to:to + LEAF]
-            if a != b and whole.get(a) and whole.get(b) and root(at) == root(to):
-                continue  # both leaves are one class already
-            x, y = np.nonzero(np.bitwise_count(one[:, None] ^ two[None, :]) <= distance)
-            for i, j in zip((x + at).tolist(), (y + to).tolist(), strict=True):
-                if i < j:
-                    p, q = root(i), root(j)
-                    if p != q:
-                        parent[max(p, q)] = min(p, q)
-            if a == b:
-                whole[a] = len({root(i) for i in range(at, at + len(one))}) == 1
-        return np.array([root(i) for i in range(len(parent))])
+        def renamed() -> np.ndarray:
+            to = np.arange(count)
+            for x in parent:
+                to[x] = root(x)
+            return to[own]
+
+        stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        while stack:
+            level, left, right = stack.pop()
+            if len(left) > PAIRS:
+                stack.append((level, left[PAIRS:], right[PAIRS:]))
+                left, right = left[:PAIRS], right[:PAIRS]
+            mask, value = self.levels[level]
+            one = uniform[level][left]
+            open_ = (np.bitwise_count((value[left] ^ value[right]) & mask[left] & mask[right]) <= distance) & ~(
+                (one >= 0) & (one == uniform[level][right]))
+            left, right = left[open_], right[open_]
+            walked += len(open_)
+            if level and len(left):
+                stack.append((level - 1, *self._children(left, right, len(self.levels[level - 1][0]))))
+            elif len(left):
+                x, y = self._near(left, right, distance)
+                p, q = own[x], own[y]
+                apart = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)])[:, p != q], axis=1)
+                for i, j in apart.T.tolist():
+                    i, j = root(i), root(j)
+                    if i != j:
+                        parent[max(i, j)] = min(i, j)
+            if parent and walked * LEAF >= count:  # names are renewed once as many pairs were walked as there are leaves
+                own, parent, walked = renamed(), {}, 0
+                uniform = self._uniform(own)
+        return renamed()
 
 
 def links(grouped: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -252,14 +284,15 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """One row of each component, that with the least id, with all columns of ``docs``.
 
     Of rows that share the least id, and of components without any id, the row with the least fingerprint is
-    taken, of equal ones any.
+    taken, of equal ones that with the least hash of all its columns.
     """
     bits = free_name(docs, "_bits")
     marked = staged(fingerprints(docs, text, bits, shingle), "marked")
     found = linked(marked.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(bits).alias("bits")), distance)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("bits").alias("kept_bits"), F.first("component_id").alias("kept_id"))
     kept = marked.join(first, (F.col(bits) == F.col("kept_bits")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.dropDuplicates([doc_id, bits]).select([f"`{c}`" for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.groupBy(F.col(f"`{doc_id}`").alias("id"), F.col(bits).alias("bits")).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row")).select("row.*")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,27 @@ def test_odd_rows(spark, odd, none):
     kept = simhash.representatives(odd.withColumnRenamed("lang", "_bits"))
     assert kept.columns == ["doc_id", "text", "_bits", "source", "n_chars"]
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "5", "7", "None"]
+
+
+@pytest.mark.parametrize("members,free", [(3000, 21), (4000, 25), (500, 14), (17, 8), (1, 3)])
+def test_groups_of_the_last_level_equal_brute_force(members, free):
+    bits = np.unique(np.random.default_rng(members).integers(0, 1 << free, members).astype(np.uint64))
+    index = simhash.GrayIndex(bits)
+    classes = {}
+    for member, root in brute_components(bits.tolist()).items():
+        classes.setdefault(root, set()).add(member)
+    got = {}
+    for member, own in zip(index.members.tolist(), index.classes(3).tolist(), strict=True):
+        got.setdefault(own, set()).add(member)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, classes.values()))
+
+
+def test_a_dense_group_is_one_class_and_a_code_is_none():
+    dense = np.random.default_rng(1).choice(1 << 21, 1 << 18, replace=False).astype(np.uint64)
+    assert not simhash.GrayIndex(dense).classes(3).any()
+    words = np.arange(1 << 16, dtype=np.uint64)
+    check = np.zeros(len(words), np.uint64)
+    for bit in range(16):
+        check ^= np.where(words >> np.uint64(bit) & np.uint64(1), np.uint64(bit + 1), np.uint64(0))
+    code = words[(check == 0) & (np.bitwise_count(words) % 2 == 0)]  # any two differ in four bits or more
+    assert len(np.unique(simhash.GrayIndex(code).classes(3))) == len(code)
