@@ -53,6 +53,47 @@ def test_targets_are_reshared(spark, documents):
     assert again == {(r.doc_id, r.taken) for r in rows}
 
 
+def test_shards_draw_source_counts_near_the_targets(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    mix = mixing.Mix(docs, block=4, shard_slots=512)
+    plan = {r.source_no: r.slots for r in mixing.planned(mix.sources, 4).collect()}
+    counts = mix.shards.collect()
+    total, shards = sum(plan.values()), -(-sum(plan.values()) // 512)
+    assert shards > 10 and {r.shard for r in counts} == set(range(shards))
+    for source, slots in plan.items():
+        own = sorted((r.shard, r.first_slot, r.slots) for r in counts if r.source_no == source)
+        # ranges follow each other in order of the shards and give all slots
+        assert [first for _, first, _ in own] == np.cumsum([0] + [n for *_, n in own[:-1]]).tolist() and sum(n for *_, n in own) == slots
+        # multinomial: within six deviations of the mean, and not all alike
+        mean = slots / shards
+        assert all(abs(n - mean) <= 6 * sqrt(mean) + 1 for *_, n in own)
+    assert len({(r.source_no, r.slots) for r in counts}) > 2 * len(plan)
+    slots = mix.slots.collect()
+    assert len(slots) == total == len({(r.source_no, r.slot) for r in slots}) == len({(r.source_no, r.round, r.block_no) for r in slots})
+    drawn = Counter((r.source_no, r.shard) for r in slots)
+    assert drawn == {(r.source_no, r.shard): r.slots for r in counts}
+
+
+def test_mixed_shards_hold_the_blocks_drawn(spark, odd, none):
+    taken = sum(r.taken for r in mixing.Mix(odd, block=8).taken().collect())
+    rows = mixing.mixed_shards(odd.withColumnRenamed("n_chars", "_mix_start"), block=8, shard_slots=64).collect()
+    assert sum(r.n_words for r in rows) == taken and all(len(r.text.split()) == r.n_words <= 8 for r in rows)
+    own = {}
+    for r in odd.collect():
+        own.setdefault(r.source, Counter()).update((r.text or "").split())
+    for source in own:
+        mixed = Counter(w for r in rows if r.source == source for w in r.text.split())
+        assert all(n <= 2 * own[source][w] for w, n in mixed.items())
+    assert len({r.shard for r in rows}) > 1 and mixing.mixed_shards(none).count() == 0
+
+
+def test_rows_without_ids_are_spread(spark):
+    rows = spark.createDataFrame([(None, f"text number {i} of many", "a") for i in range(200)], "doc_id long, text string, source string")
+    mix = mixing.Mix(rows)
+    parts = mix.docs.select(F.pmod(F.xxhash64("doc_id", F.lit(mixing.SEED), "salt"), F.lit(mixing.PARTS)).alias("part")).distinct().count()
+    assert parts > 100 and mixing.mixed_texts(rows).count() > 0
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 1000):
         out = [r.p for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(5)).alias("p")).collect()]
