@@ -70,3 +70,24 @@ def test_max_score_prunes_nothing_it_needs():
         top, who = topk.max_score(q, None, np.ascontiguousarray(scores.T), ids, scores.max(0), scores.min(0), 5)
         want = sorted(zip((-(scores @ q)).tolist(), ids.tolist(), strict=True))[:5]
         assert list(zip((-top).tolist(), who.tolist(), strict=True)) == want
+
+
+def test_topk_leaves_out_the_query_row_alone(spark, tmp_path):
+    draw = np.random.default_rng(3)
+    rows = [(i, draw.integers(-3, 4, 4).astype(float).tolist(), 0) for i in range(120)]
+    rows += [rows[0], rows[0], rows[50], rows[7], rows[8], (50, [2.0, -1.0, 3.0, 1.0], 0), (100, rows[100][1] + [0.0], 0)]
+    # own product beyond 64 bits, all others small
+    rows += [(150, [3e12, 1.0, 0.0, 0.0], 0)]
+    rows = [(i, [0.0, *v[1:]] if i != 150 else v, n) for i, v, n in rows]
+    vectors = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows]
+    want = []
+    for at, (i, q) in enumerate(vectors):
+        if i % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for place, (j, v) in enumerate(vectors) if place != at)[:5]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored)]
+    schema = "vec_id long, embedding array<double>, label int"
+    got = QUERIES["op9_topk"](spark, saved(spark, tmp_path, embeddings=(schema, rows)))
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == sorted(want)
+    small = topk.integer_vectors(spark.createDataFrame(rows, schema))
+    cells = topk.top_k(small.where("vec_id % 50 = 0"), small, shard_rows=40, group_rows=2)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in cells.collect()) == sorted(want)
