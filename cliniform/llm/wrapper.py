@@ -11,7 +11,8 @@ the frame of a page), so a part named like that stays where it holds the article
 page's varying text (``reopened``).
 
 Trees are merged per task first and then by host in two steps, so a host with a third of the pages
-is spread; a merged tree is bounded by ``NODES``. Pages then get the tree of their host by a join.
+is spread; merged trees keep every node, so they are as large as the host's templates differ. Pages then get the tree of
+their host by a join.
 
 Defined cases: null or empty html gives an empty text; pages without a host form one host; a node that
 fewer than ``MIN_PAGES`` different pages have is no constant, so tags and names decide alone; a page that aligns badly
@@ -39,8 +40,6 @@ from .common import sliced, table
 
 #: Different pages that must have a node before its text, the same in all, counts as template.
 MIN_PAGES = 10
-#: Nodes a merged tree keeps; the rarest are dropped, and pages treat what they lack as slots.
-NODES = 2000
 #: Depth from which on elements are not nested any further: their texts belong to the last open one.
 DEPTH = 150
 #: Digests kept per node to count its different texts, and the different pages that have it.
@@ -395,23 +394,6 @@ def merged(slot: Slot, other: Slot, memo: dict | None = None) -> Slot:
     return slot
 
 
-def pruned(slot: Slot, most: int = NODES) -> Slot:
-    """Drop the rarest subtrees until at most ``most`` nodes are left."""
-    least = 1
-    while slot.count() > most:
-        least *= 2
-
-        def cut(node: Slot) -> None:
-            node.children = [c for c in node.children if c.pages >= least]
-            for c in node.children:
-                cut(c)
-
-        cut(slot)
-        if least > slot.pages:
-            break
-    return slot
-
-
 def own_text(nodes: list[Node]) -> str:
     return " ".join(p for n in nodes for p in n.parts if isinstance(p, str))
 
@@ -528,15 +510,13 @@ def wrappers(pages: DataFrame, host: str = "host", html: str = "html") -> DataFr
     kind = "host string, tree string"
 
     def flush(trees: dict[str, Slot]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(trees), pa.string()), pa.array([json.dumps(pruned(t).dump(), separators=(",", ":")) for t in trees.values()], pa.string())],
+        return pa.RecordBatch.from_arrays([pa.array(list(trees), pa.string()), pa.array([json.dumps(t.dump(), separators=(",", ":")) for t in trees.values()], pa.string())],
                                           ["host", "tree"])
 
     def held(items: Iterator[tuple[str, Slot]]) -> Iterator[pa.RecordBatch]:
         trees: dict[str, Slot] = {}
         for name, page in items:
             trees[name] = merged(trees[name], page) if name in trees else page
-            if trees[name].pages % 64 == 0:
-                pruned(trees[name])
             if len(trees) >= 2000:  # partial trees leave early; they meet again behind the shuffle
                 yield flush(trees)
                 trees = {}
@@ -584,7 +564,7 @@ def _by_host(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tree_row(host: str, slot: Slot) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([host]), pa.array([json.dumps(pruned(slot).dump(), separators=(",", ":"))])], ["host", "tree"])
+    return pa.RecordBatch.from_arrays([pa.array([host]), pa.array([json.dumps(slot.dump(), separators=(",", ":"))])], ["host", "tree"])
 
 
 def extracted(pages: DataFrame, url: str = "url", html: str = "html", out: str = "main_text") -> DataFrame:

@@ -414,3 +414,14 @@ def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
             assert docs.columns == columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).columns[-1] == "token_ids"
         docs.count()
+
+
+def test_wrapper_keeps_nodes_of_hosts_with_many_templates(spark):
+    letters = [f"{a}{b}" for a in "bcdfghk" for b in "bcdfghk"][:46]
+    rows = [(i, "http://h.x/", f"<body><div class=qtail>Same tail</div><p>own words number {i}</p></body>") for i in range(12)]
+    for i in range(100, 116):
+        parts = "".join(f"<div class=q{a}>" + "".join(f"<div class=v{b}>w{i} {a} {b}</div>" for b in letters) + "</div>" for a in letters)
+        rows.append((i, "http://h.x/", f"<body>{parts}</body>"))
+    got = {r.page_id: r.main_text for r in wrapper.extracted(spark.createDataFrame(rows, PAGE).coalesce(1)).collect()}
+    assert all(got[i] == f"own words number {i}" for i in range(12))
+    assert len(got[100].split()) == 3 * 46 * 46
