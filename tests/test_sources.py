@@ -8,10 +8,11 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from cliniform.checks import quality
 from cliniform.demo import adapter
 from cliniform.plans.administration import BUILD_ORDER, NEVER_FILLED, build_all, orphan_report
 from cliniform.plans.vitals import cohort_signs
-from cliniform.sources.model import PERSON_CHECKED, REFERENCES, TABLES, conform, empty
+from cliniform.sources.model import PERSON_CHECKED, REFERENCES, TABLES, VISIT_CHECKED, conform, empty
 from cliniform.sources.audit import StageAudit
 from cliniform.sources.readers import COMPLAINT_MAP, read_between, read_map, read_range
 from cliniform.sources.stage import CHECKPOINT_DIR, stage_root, staged
@@ -104,6 +105,24 @@ def test_whole_build(spark, tmp_path):
     assert f"load demographic: {filled['demographic']} rows" in {r["operation"] for r in log}
 
 
+def test_checks_share_one_build_and_one_test_of_the_cohort(spark):
+    study = adapter.Study(adapter.SourceTables(spark, "/root/testdata/sf0.001"), adapter.SITE, adapter.FLOOR, adapter.TODAY, local_vocabulary="Local")
+    light = quality.raw_finished(study, quality._CHECKED)
+    assert set(light) == set(TABLES) and set(light["vital"].columns) < set(TABLES["vital"].columns)
+    keys = quality.raw_finished(study, {"vital": ["vitalid"]})
+    assert keys["vital"].inputFiles() == light["vital"].inputFiles() and set(keys) == {"vital"}
+    report = orphan_report(quality.finished(study, quality._CHECKED), study)
+    # every table is read once for both of its keys, and all keys meet the cohort in one join
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1
+    counts = {(r.table_name, r.column_name): r.violations for r in report.collect()}
+    assert set(counts) == {(t, "patid") for t in PERSON_CHECKED} | {(t, "encounterid") for t in VISIT_CHECKED}
+    rows, visits = quality.finished(study)["obs_gen"], study.cohort.select(F.col("visit_id").cast("string").alias("k"))
+    assert counts["obs_gen", "encounterid"] == rows.where("encounterid is not null").join(visits, F.col("encounterid") == F.col("k"), "left_anti").count() > 0
+    per_key = quality._kept_per_key(study, ["obs_gen", "vital"], "encounterid").where("table_name = 'obs_gen'")
+    assert per_key.agg(F.sum("n_rows")).first()[0] == rows.count() - counts["obs_gen", "encounterid"]
+
+
 def test_misfits_are_counted_or_stop_the_run(spark, tmp_path):
     rows = spark.createDataFrame([("1", 25000000.0), ("2", 1.5), ("3", None)], "lab_result_cm_id string, result_num double")
     path, counts = write_audited(rows, str(tmp_path), "lab_result_cm", "x")
