@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import Memo
-from .common import appended, free_name, sliced, table
+from .common import appended, bounded_batches, free_name, sliced, table
 
 BUCKETS = 1 << 15
 WIDTH = 64
@@ -76,6 +76,7 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 def context_table(df: DataFrame, text: str = "text") -> np.ndarray:
     """Sum of the neighbours' index vectors for every bucket, over all texts; ``BUCKETS`` x ``WIDTH``."""
+    bounded_batches(df.sparkSession)
     blocks = BUCKETS // BLOCK
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

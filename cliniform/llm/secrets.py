@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..sources.stage import staged
 from .bpe import Memo
-from .common import appended, free_name, table
+from .common import appended, table
 
 #: Base patterns (fixed values) in the order of their kinds, each with the group that has a least length.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A | re.I)
@@ -423,8 +423,7 @@ def redacted(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> Dat
     def compute(texts: pa.Array) -> pa.Array:
         return pa.array([None if t is None else _masked(t, spans_of(t, field)[1], mask) for t in texts.to_pylist()], pa.string())
 
-    made = free_name(docs, "_redacted")
-    return appended(docs, text, compute, T.StructType([T.StructField(made, T.StringType())])).withColumn(text, F.col(made)).drop(made).select([f"`{c}`" for c in docs.columns])
+    return appended(docs, text, compute, T.StructType([T.StructField(text, T.StringType())])).select([f"`{c}`" for c in docs.columns])
 
 
 def _masked(text: str, spans: list[Span], mask: str) -> str:

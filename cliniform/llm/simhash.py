@@ -68,14 +68,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint_bits", shingle: int = SHINGLE) -> DataFrame:
     """Append the fingerprint of every whole text as a (signed) long."""
-    raw = free_name(df, "_utf8")
-
     def compute(texts: pa.Array) -> pa.Array:
         bits = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in texts]
         return pa.array(np.array(bits, np.uint64).view(np.int64))
 
-    made = appended(df.withColumn(raw, F.col(f"`{text}`").cast("binary")), raw, compute, T.StructType([T.StructField(out, T.LongType())]))
-    return made.drop(raw)
+    return appended(df, text, compute, T.StructType([T.StructField(out, T.LongType())]))
 
 
 def hex16(bits: Column) -> Column:
